@@ -1,0 +1,185 @@
+"""Top-N per window on a stream with allowed lateness and a late output.
+
+Spark's streaming aggregations drop late rows before any user code and close a
+window once. This job keeps windows open for ``lateness`` after they close,
+ranks them again when late rows come in, and hands rows that are late for all
+their windows to a second output. It keeps no operator state: per micro-batch
+
+1. the watermark is the largest event time of all earlier batches minus the
+   delay (one row per batch in ``progress``);
+2. wanted rows late for every window go to ``late``;
+3. the other wanted rows become counted intervals of window ends per key, cut
+   where windows are already closed for good, and are added to ``intervals``;
+4. windows the batch's own watermark closes, and closed ones that got late
+   rows, are counted from the intervals that reach them, ranked, and written to
+   ``ranked`` with the batch id as version.
+
+All four are keyed by batch id, and a batch reads earlier ones only, so a batch
+run again after a failure gives the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
+
+from ..functions.clock import floor_to, slot_end
+from ..operators.changelog import latest
+from ..operators.lateness import LatenessRule
+from ..operators.topn import top_n
+from ..operators.windows import interval_sums
+from .batch_log import BatchLog
+
+
+def _longs(*names: str) -> list[StructField]:
+    return [StructField(name, LongType()) for name in names]
+
+
+class LateTopN:
+    """Handler for ``foreachBatch`` over records *before* they are filtered."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        records: StructType,
+        *,
+        key: str,
+        wanted: Column,
+        n: int = 5,
+        rule: LatenessRule | None = None,
+        ts: str = "ts",
+    ):
+        self.rule = rule or LatenessRule()
+        self.key, self.wanted, self.n, self.ts = key, wanted, n, ts
+        key_field = records[key]
+        self.progress = BatchLog(spark, f"{path}/progress", StructType(_longs("max_ms")))
+        self.late = BatchLog(spark, f"{path}/late", records)
+        self.intervals = BatchLog(
+            spark,
+            f"{path}/intervals",
+            StructType([key_field, *_longs("_start", "_stop", "_rows")]),
+        )
+        self.ranked = BatchLog(
+            spark,
+            f"{path}/ranked",
+            StructType(
+                [
+                    *_longs("window_end"),
+                    StructField("rk", IntegerType()),
+                    key_field,
+                    *_longs("count"),
+                ]
+            ),
+        )
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            self._handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        rule = self.rule
+        event_ms = F.unix_millis(self.ts)
+        before = self.progress.before(batch_id)
+        # One number per run of the handler, both from aggregates.
+        seen = before.agg(F.max("max_ms")).head()[0]
+        newest = batch.agg(F.max(event_ms)).head()[0]
+        high = max((ms for ms in (seen, newest) if ms is not None), default=None)
+        self.progress.write(
+            batch.sparkSession.range(1).select(F.lit(high).cast("long").alias("max_ms")),
+            batch_id,
+        )
+
+        closed_for_good = None if seen is None else seen - rule.delay - rule.lateness + 1
+        start = slot_end(event_ms, rule.slide)
+        placed = batch.withColumn("_start", start).withColumn(
+            "_stop", F.col("_start") + F.lit(rule.size).cast("long")
+        )
+        if closed_for_good is None:
+            self.late.write(batch.where(F.lit(False)), batch_id)
+            first_open = F.col("_start")
+        else:
+            # The first window end that is still open to this batch's rows.
+            open_end = closed_for_good - closed_for_good % rule.slide + rule.slide
+            first_open = F.greatest(F.col("_start"), F.lit(open_end).cast("long"))
+            too_late = self.wanted & (F.col("_stop") <= F.lit(open_end))
+            self.late.write(placed.where(too_late), batch_id)
+        self.intervals.write(
+            placed.where(self.wanted)
+            .withColumn("_start", first_open)
+            .where("_start < _stop")
+            .groupBy(self.key, "_start", "_stop")
+            .agg(F.count(F.lit(1)).alias("_rows")),
+            batch_id,
+        )
+        self.ranked.write(self._fire(batch, batch_id, seen, high), batch_id)
+
+    def _fire(self, batch: DataFrame, batch_id: int, seen: int | None, high: int | None):
+        rule = self.rule
+        spark = batch.sparkSession
+        if high is None:
+            return spark.createDataFrame([], self.ranked.schema)
+        # Window ends closed before this batch and closed now (inclusive).
+        old_close = None if seen is None else seen - rule.delay + 1
+        now_close = high - rule.delay + 1
+        current = self.intervals.read().where(F.col("batch_id") <= batch_id)
+        if old_close is not None:
+            low = old_close - rule.lateness
+            # Batches all of whose intervals end before the windows that can fire.
+            oldest = (
+                self.progress.before(batch_id)
+                .where(F.col("max_ms") + rule.size + rule.slide > low)
+                .agg(F.min("batch_id"))
+                .head()[0]
+            )
+            current = current.where(F.col("batch_id") >= (batch_id if oldest is None else oldest))
+            floor_end = low - low % rule.slide + rule.slide
+            current = current.withColumn(
+                "_start", F.greatest(F.col("_start"), F.lit(floor_end).cast("long"))
+            )
+        last_end = floor_to(F.lit(now_close).cast("long"), rule.slide)
+        current = current.withColumn(
+            "_stop", F.least(F.col("_stop"), last_end + F.lit(rule.slide).cast("long"))
+        ).where("_start < _stop")
+        counts = interval_sums(
+            current, [self.key], ["_rows"], rule.size, rule.slide, present="_rows"
+        ).withColumnRenamed("_rows", "count")
+        if old_close is not None:
+            late_again = (
+                self.intervals.read()
+                .where((F.col("batch_id") == batch_id) & (F.col("_start") <= old_close))
+                .select(
+                    F.explode(
+                        F.sequence(
+                            F.col("_start"),
+                            F.least(
+                                F.col("_stop") - rule.slide,
+                                floor_to(F.lit(old_close).cast("long"), rule.slide),
+                            ),
+                            F.lit(rule.slide).cast("long"),
+                        )
+                    ).alias("window_end")
+                )
+                .distinct()
+            )
+            fresh = counts.where(F.col("window_end") > old_close)
+            again = counts.where(F.col("window_end") <= old_close).join(
+                late_again, "window_end", "left_semi"
+            )
+            counts = fresh.unionByName(again)
+        return top_n(counts, self.n, self.key)
+
+    def current(self) -> DataFrame:
+        """Every window's ranking as last written."""
+        return latest(self.ranked.read(), ["window_end", "rk"], "batch_id").select(
+            "window_end", "rk", self.key, "count"
+        )

@@ -197,7 +197,7 @@ def late_side_output_text(spark, sf_dir):
 
 def hot_urls_revised(spark, sf_dir):
     log = _arriving_log(spark, sf_dir)
-    return hot_urls.ranking_history(hot_urls.revisions(log, hot_urls.replay(log)))
+    return hot_urls.ranking_history(log, hot_urls.replay(log))
 
 
 def changelog_materialize(spark, sf_dir):

@@ -1,9 +1,8 @@
 """Text lines to records, as column expressions.
 
-Both parsers know two modes. ``failfast`` ends the job on the first line that
-does not parse; the check sits in a filter, so it also runs for queries that
-read none of the parsed columns. ``quarantine`` is :func:`split_behavior` /
-:func:`split_access_log`: good records and bad lines as two DataFrames.
+One pattern per format says whether a line is well formed. ``parse_*`` end the
+job on the first line that is not, also in queries that use none of its fields;
+``split_*`` give good records and bad lines as two DataFrames.
 
 Fields past the last used one are ignored, and separators at the very end of a
 line do not open another (empty) field.
@@ -14,112 +13,125 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_WHOLE_NUMBER = "^[+-]?[0-9]+$"
-_FIXED_WIDTH_TIME = "^[0-9]{2}/[0-9]{2}/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2}([^0-9]|$)"
-_LOOSE_TIME = r"^([0-9]{1,4})/([0-9]{1,4})/([0-9]{1,4}):([0-9]{1,4}):([0-9]{1,4}):([0-9]{1,4})"
 
+def _at_most(bound: int) -> str:
+    """Pattern of the unsigned decimal numbers up to ``bound``."""
+    digits = str(bound)
+    parts = [f"[0-9]{{1,{len(digits) - 1}}}"]
+    for i, digit in enumerate(digits):
+        if digit != "0":
+            rest = len(digits) - i - 1
+            parts.append(f"{digits[:i]}[0-{int(digit) - 1}][0-9]{{{rest}}}")
+    parts.append(digits)
+    return f"0*(?:{'|'.join(parts)})"
 
-def _tokens(line: Column, separator: str) -> Column:
-    return F.split(F.rtrim(line, F.lit(separator)), separator)
 
+def _signed(bits: int) -> str:
+    return rf"(?:\+?{_at_most(2 ** (bits - 1) - 1)}|-{_at_most(2 ** (bits - 1))})"
 
-def _number(token: Column, kind: str) -> Column:
-    """The number, or null unless the token is digits only and fits ``kind``."""
-    return F.when(token.rlike(_WHOLE_NUMBER), token.try_cast(kind))
 
+_LONG, _INT = _signed(64), _signed(32)
+_BEHAVIOR = f"^{_LONG},{_LONG},{_INT},[^,]*,{_LONG}(?:,|$)"
 
-def _civil_ms(day, month, year, hour, minute, second) -> Column:
-    """Epoch ms (UTC) of calendar fields; fields past their range carry over."""
-    month_start = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
-    days = F.unix_date(month_start).cast("long") + day - 1
-    return (((days * 24 + hour) * 60 + minute) * 60 + second) * 1000
+_UP_TO_4 = "[0-9]{1,4}"
+_TIME = f"{_UP_TO_4}/{_UP_TO_4}/{_UP_TO_4}:{_UP_TO_4}:{_UP_TO_4}:{_UP_TO_4}(?![0-9])[^ ]*"
+_ACCESS_LOG = f"^[^ ]* [^ ]* [^ ]* {_TIME} [^ ]* [^ ]* (?=.*[^ ])"
 
 
-def log_time_ms(token: Column) -> Column:
-    """``dd/MM/yyyy:HH:mm:ss`` to epoch ms, null if it does not start that way.
+def _well_formed(pattern: str) -> Column:
+    return F.col("value").rlike(pattern)
 
-    Text after the seconds is ignored, fields may have fewer or more digits, and
-    overflowing fields roll over (32/01 is 1 February). Fixed-width times, the
-    normal case, are cut by position; only the others reach the pattern.
-    """
 
-    def cut(start: int, length: int) -> Column:
-        return F.substring(token, start, length).try_cast("int")
+def _checked_tokens(lines: DataFrame, pattern: str, tokens: Column, what: str) -> DataFrame:
+    """Tokens of each line as ``_t``, or the end of the job.
+
+    One array in, one row out: the optimizer neither drops a generator nor
+    copies it into the filters and projections above, so every line is checked
+    and cut exactly once.
+    """
+    stop = F.raise_error(F.concat(F.lit(f"malformed {what} line: "), F.col("value")))
+    checked = F.when(_well_formed(pattern), tokens).otherwise(stop.cast("array<string>"))
+    return lines.select(F.explode(F.array(checked)).alias("_t"))
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(token, _LOOSE_TIME, i).try_cast("int")
 
-    fixed = _civil_ms(cut(1, 2), cut(4, 2), cut(7, 4), cut(12, 2), cut(15, 2), cut(18, 2))
-    loose = _civil_ms(group(1), group(2), group(3), group(4), group(5), group(6))
-    return F.when(token.rlike(_FIXED_WIDTH_TIME), fixed).when(token.rlike(_LOOSE_TIME), loose)
+def _token(i: int) -> Column:
+    return F.get("_t", F.lit(i))
 
 
-def _behavior_columns(lines: DataFrame) -> DataFrame:
-    token = lambda i: F.get(F.col("_t"), F.lit(i))
-    return lines.withColumn("_t", _tokens(F.col("value"), ",")).select(
-        "value",
-        _number(token(0), "long").alias("user_id"),
-        _number(token(1), "long").alias("item_id"),
-        _number(token(2), "int").alias("category_id"),
-        token(3).alias("behavior"),
-        _number(token(4), "long").alias("timestamp"),
-    )
+def _behavior_tokens() -> Column:
+    return F.split("value", ",", 6)
 
 
-def _access_log_columns(lines: DataFrame) -> DataFrame:
-    token = lambda i: F.get(F.col("_t"), F.lit(i))
-    return lines.withColumn("_t", _tokens(F.col("value"), " ")).select(
-        "value",
-        token(0).alias("ip"),
-        token(1).alias("user_id"),
-        log_time_ms(token(3)).alias("event_time"),
-        token(5).alias("method"),
-        token(6).alias("url"),
+def _behavior_fields(tokens: DataFrame) -> DataFrame:
+    return tokens.select(
+        _token(0).cast("long").alias("user_id"),
+        _token(1).cast("long").alias("item_id"),
+        _token(2).cast("int").alias("category_id"),
+        _token(3).alias("behavior"),
+        _token(4).cast("long").alias("timestamp"),
     )
 
 
-def _complete(columns: list[str]) -> Column:
-    good = F.lit(True)
-    for name in columns:
-        good = good & F.col(name).isNotNull()
-    return good
+def _access_log_tokens() -> Column:
+    return F.split("value", " ", 8)
+
 
+def _access_log_fields(tokens: DataFrame) -> DataFrame:
+    # The parts of the time are bound by a projection of their own: they are
+    # used six times above.
+    parts = F.split(F.translate(_token(3), "/", ":"), ":", 6)
+    return tokens.withColumn("_p", parts).select(
+        _token(0).alias("ip"),
+        _token(1).alias("user_id"),
+        _civil_ms().alias("event_time"),
+        _token(5).alias("method"),
+        _token(6).alias("url"),
+    )
 
-_BEHAVIOR_FIELDS = ["user_id", "item_id", "category_id", "behavior", "timestamp"]
-_ACCESS_LOG_FIELDS = ["ip", "user_id", "event_time", "method", "url"]
 
+def _civil_ms() -> Column:
+    """Epoch ms (UTC) of the time parts day, month, year, hour, minute, second.
 
-def _failfast(parsed: DataFrame, fields: list[str], what: str) -> DataFrame:
-    stop = F.raise_error(F.concat(F.lit(f"malformed {what} line: "), F.col("value")))
-    return parsed.where(
-        F.when(_complete(fields), F.lit(True)).otherwise(stop.cast("boolean"))
-    ).select(*fields)
+    Parts past their range carry over: 32/01 is 1 February. Text after the
+    seconds is ignored.
+    """
 
+    def part(i: int) -> Column:
+        return F.get("_p", F.lit(i)).cast("int")
 
-def _split(parsed: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
-    return parsed.where(_complete(fields)).select(*fields), parsed.where(
-        ~_complete(fields)
-    ).select("value")
+    second = F.regexp_extract(F.get("_p", F.lit(5)), "^[0-9]+", 0).cast("int")
+    month = F.add_months(F.make_date(part(2), F.lit(1), F.lit(1)), part(1) - 1)
+    days = F.unix_date(month).cast("long") + part(0) - 1
+    return (((days * 24 + part(3)) * 60 + part(4)) * 60 + second) * 1000
 
 
 def parse_behavior(lines: DataFrame) -> DataFrame:
     """``user,item,category,behavior,epoch-seconds`` lines, failing on bad ones."""
-    return _failfast(_behavior_columns(lines), _BEHAVIOR_FIELDS, "behavior")
+    return _behavior_fields(
+        _checked_tokens(lines, _BEHAVIOR, _behavior_tokens(), "behavior")
+    )
 
 
 def split_behavior(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed records and, apart from them, the lines that do not parse."""
-    return _split(_behavior_columns(lines), _BEHAVIOR_FIELDS)
+    good = lines.where(_well_formed(_BEHAVIOR))
+    bad = lines.where(~_well_formed(_BEHAVIOR)).select("value")
+    return _behavior_fields(good.select(_behavior_tokens().alias("_t"))), bad
 
 
 def parse_access_log(lines: DataFrame) -> DataFrame:
     """Space-separated access-log lines, failing on bad ones.
 
-    Tokens: 0 ip, 1 user, 3 time, 5 method, 6 url. Token 4 (the zone) is not
-    used; times are UTC.
+    Tokens: 0 ip, 1 user, 3 time (``dd/MM/yyyy:HH:mm:ss``), 5 method, 6 url.
+    Token 4 (the zone) is not used; times are UTC.
     """
-    return _failfast(_access_log_columns(lines), _ACCESS_LOG_FIELDS, "access-log")
+    return _access_log_fields(
+        _checked_tokens(lines, _ACCESS_LOG, _access_log_tokens(), "access-log")
+    )
 
 
 def split_access_log(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _split(_access_log_columns(lines), _ACCESS_LOG_FIELDS)
+    """Parsed records and, apart from them, the lines that do not parse."""
+    good = lines.where(_well_formed(_ACCESS_LOG))
+    bad = lines.where(~_well_formed(_ACCESS_LOG)).select("value")
+    return _access_log_fields(good.select(_access_log_tokens().alias("_t"))), bad

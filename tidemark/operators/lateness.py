@@ -188,6 +188,24 @@ def late_output(df: DataFrame, gates: Gates) -> DataFrame:
     )
 
 
+def _count_passed(df: DataFrame, gates: Gates) -> DataFrame:
+    """Add ``_passed``, the number of gates before the row's position.
+
+    Gates never fall along the array, so this is a binary search: each step reads
+    one element.
+    """
+    top = gates.rule.gates_per_block.bit_length() - 1
+    steps = F.array(*[F.lit(1 << bit) for bit in range(top, -1, -1)])
+
+    def descend(passed: Column, step: Column) -> Column:
+        ahead = F.get("_gates", passed + step - 1) < F.col(gates.position)
+        return passed + F.when(ahead, step).otherwise(F.lit(0))
+
+    searched = F.reduce(steps, F.lit(0), descend)
+    # Through a generator, so that filters above do not repeat the search.
+    return df.select(*df.columns, F.explode(F.array(searched)).alias("_passed")).drop("_gates")
+
+
 def classify(df: DataFrame, gates: Gates) -> DataFrame:
     """Add where a row's windows change class, as window ends on the slide grid.
 
@@ -195,13 +213,11 @@ def classify(df: DataFrame, gates: Gates) -> DataFrame:
     take it late, ``[_on_time, _stop)`` have it on time.
     """
     rule = gates.rule
-    position = F.col(gates.position)
-    # Gates never fall along the array, so the passed ones are its head.
-    passed = F.when(
-        position > _gate(F.col("_start"), rule.unit),
-        F.size(F.filter("_gates", lambda gate: gate < position)),
+    searched = _count_passed(_with_gates(df, gates), gates)
+    watermark = F.when(
+        F.col("_passed") > 0,
+        F.col("_block") + (F.col("_passed").cast("long") - 1) * rule.unit,
     )
-    watermark = F.col("_block") + (passed.cast("long") - 1) * rule.unit
 
     def first_after(threshold: Column) -> Column:
         end = floor_to(threshold, rule.slide) + F.lit(rule.slide)
@@ -209,8 +225,7 @@ def classify(df: DataFrame, gates: Gates) -> DataFrame:
         return F.when(F.col("_wm").isNull(), F.col("_start")).otherwise(inside)
 
     return (
-        _with_gates(df, gates)
-        .withColumn("_wm", watermark)
+        searched.withColumn("_wm", watermark)
         .select(
             *df.columns,
             "_start",
@@ -250,6 +265,19 @@ def class_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
     ).select("window_end", *keys, *measures[:3])
 
 
+def revised_windows(df: DataFrame, gates: Gates) -> DataFrame:
+    """Window ends that accept a row late, hence change after they closed."""
+    late = (
+        classify(df, gates)
+        .where("_accepted < _on_time")
+        .groupBy(F.col("_accepted").alias("_start"), F.col("_on_time").alias("_stop"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    return interval_sums(
+        late, [], ["_rows"], gates.rule.size, gates.rule.slide, present="_rows"
+    ).select("window_end")
+
+
 def revised_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
     """Counts of each window when it first closes and once it is final.
 

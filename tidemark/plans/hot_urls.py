@@ -22,6 +22,7 @@ from ..operators.lateness import (
     build_gates,
     late_output,
     revised_counts,
+    revised_windows,
 )
 from ..operators.topn import as_table_rows, max_per_rank, top_n
 from ..operators.windows import sliding_count
@@ -73,24 +74,21 @@ def revisions(log: DataFrame, gates: Gates) -> DataFrame:
     return revised_counts(get_requests(log), ["url"], gates)
 
 
-def ranking_history(counts: DataFrame, n: int = TOP) -> DataFrame:
+def ranking_history(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
     """Each window's ranking when it closes (version 1) and, if late rows have
-    changed a count since, when it is final (version 2)."""
+    come in since, when it is final (version 2)."""
+    requests = get_requests(log)
+    counts = revised_counts(requests, ["url"], gates)
     first = counts.where("first_count > 0").select(
         "window_end", "url", F.col("first_count").alias("count")
     )
-    revised = (
-        counts.groupBy("window_end")
-        .agg(F.bool_or(F.col("final_count") > F.col("first_count")).alias("_revised"))
-        .where("_revised")
-    )
     final = counts.select("window_end", "url", F.col("final_count").alias("count"))
     return (
         top_n(first, n, "url")
         .withColumn("version", F.lit(1))
         .unionByName(
             top_n(final, n, "url")
-            .join(revised, "window_end", "left_semi")
+            .join(revised_windows(requests, gates), "window_end", "left_semi")
             .withColumn("version", F.lit(2))
         )
     )

@@ -16,8 +16,8 @@ push it past x stands before this one". So the data need no global order: the
 first position per event-time slot is a grouped minimum (partial per task, hence
 indifferent to skew), and the minimum over all slots from x on says when x was
 passed. These gates are a table that grows with the time span, not with the
-rows; they are kept per block of time as an array over the slot grid, where each
-row finds its own by index.
+rows; they are kept per block of time as a sorted array, in which each row finds
+how far the watermark had come by binary search.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from .windows import interval_sums
 # Gates up to this size are broadcast. Larger ones are joined by shuffle, where
 # adaptive execution splits a block that holds too many rows.
 BROADCAST_BYTES = 128 * 1024 * 1024
-_GATE_BYTES = 24  # a decimal(38) element of an array
+_GATE_BYTES = 64  # one array element, a struct of a long and a decimal(38)
 
 
 @dataclass(frozen=True)
@@ -63,16 +63,17 @@ class LatenessRule:
         return self.size + self.lateness
 
     @property
-    def gates_per_block(self) -> int:
-        return 2 * self.block // self.unit
+    def max_gates(self) -> int:
+        """Most gates a block can have, one past its end included."""
+        return 2 * self.block // self.unit + 1
 
 
 @dataclass(frozen=True)
 class Gates:
-    """Per block ``_block`` of window ends, the array ``_gates``.
+    """Per block ``_block`` of window ends, the sorted array ``_gates``.
 
-    Element ``i`` is the first position after which the watermark has passed
-    window end ``_block + i * unit``; null if it never does.
+    An element ``(at, first)`` says: rows after position ``first`` find the
+    watermark past window end ``at``. Both grow along the array.
     """
 
     table: DataFrame
@@ -109,101 +110,80 @@ def build_gates(
             F.min(position).alias("_first")
         )
     )
-    wanted = slots.select("_block").distinct()
-
-    # Slots inside a block's own array, at most gates_per_block after the minimum.
     own = floor_to(F.col("_g"), block)
-    near = slots.select(
-        F.explode(F.array(own - F.lit(block), own)).alias("_block"), "_g", "_first"
-    )
-    grid = wanted.select(
-        "_block",
-        F.explode(
-            F.sequence(
-                F.col("_block"),
-                F.col("_block") + F.lit(2 * block - unit),
-                F.lit(unit).cast("long"),
-            )
-        ).alias("_g"),
-    ).withColumn("_first", F.lit(None).cast("decimal(38,0)"))
-
-    # Everything past the array. One row per block: bounded by the time span.
+    none = F.lit(None).cast("decimal(38,0)")
+
+    # What lies past a block's array. One row per block: bounded by the time span.
     past_array = Window.orderBy(F.desc("_block")).rangeBetween(
         Window.unboundedPreceding, -2 * block
     )
     beyond = (
         slots.groupBy(own.alias("_block"))
         .agg(F.min("_first").alias("_first"))
-        .unionByName(wanted.withColumn("_first", F.lit(None).cast("decimal(38,0)")))
+        .unionByName(slots.select("_block").distinct().withColumn("_first", none))
         .groupBy("_block")
         .agg(F.min("_first").alias("_first"))
-        .select("_block", F.min("_first").over(past_array).alias("_beyond"))
+        .select(
+            "_block",
+            (F.col("_block") + F.lit(2 * block)).alias("_g"),
+            F.min("_first").over(past_array).alias("_first"),
+        )
+        .where(F.col("_first").isNotNull())
+    )
+    near = slots.select(
+        F.explode(F.array(own - F.lit(block), own)).alias("_block"), "_g", "_first"
     )
-
     from_here = Window.partitionBy("_block").orderBy(F.desc("_g"))
-    table = (
-        grid.withColumn("_grid", F.lit(True))
-        .unionByName(near.withColumn("_grid", F.lit(False)))
-        .withColumn("_gate", F.min("_first").over(from_here))
-        .where("_grid")
-        .join(beyond, "_block")
+    table = cut_lineage(
+        near.unionByName(beyond)
+        .groupBy("_block", "_g")
+        .agg(F.min("_first").alias("_first"))
+        .withColumn("_first", F.min("_first").over(from_here))
         .groupBy("_block")
+        # At most max_gates elements, whatever the number of rows.
         .agg(
             F.sort_array(
-                F.collect_list(
-                    F.struct("_g", F.least("_gate", "_beyond").alias("_gate"))
-                )
-            ).alias("_points")
+                F.collect_list(F.struct(F.col("_g").alias("at"), F.col("_first").alias("first")))
+            ).alias("_gates")
         )
-        .select("_block", F.col("_points._gate").alias("_gates"))
     )
-    table = cut_lineage(table)
-    size = table.count() * rule.gates_per_block * _GATE_BYTES
-    return Gates(table, rule, event_ms, position, size <= BROADCAST_BYTES)
+    size = table.agg(F.sum(F.size("_gates"))).head()[0] or 0
+    return Gates(table, rule, event_ms, position, size * _GATE_BYTES <= BROADCAST_BYTES)
 
 
-def _with_gates(df: DataFrame, gates: Gates) -> DataFrame:
+def _passed(df: DataFrame, gates: Gates) -> DataFrame:
+    """Add a row's window ends ``[_start, _stop)`` and ``_wm``, the last window end
+    in reach that the watermark before the row has passed (null: none)."""
     rule = gates.rule
     table = F.broadcast(gates.table) if gates.broadcastable else gates.table
-    return (
-        df.withColumn("_start", slot_end(F.col(gates.event_ms), rule.slide))
+    start = slot_end(F.col(gates.event_ms), rule.slide)
+    placed = (
+        df.withColumn("_start", start)
         .withColumn("_stop", F.col("_start") + F.lit(rule.size).cast("long"))
         .withColumn("_block", floor_to(F.col("_start"), rule.block))
-        .join(table, "_block")
+        .join(table, "_block", "left")
     )
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(rule.max_gates.bit_length()))])
 
+    def descend(passed: Column, step: Column) -> Column:
+        ahead = F.get("_gates", passed + step - 1)["first"] < F.col(gates.position)
+        return passed + F.when(ahead, step).otherwise(F.lit(0))
 
-def _gate(window_end: Column, unit: int) -> Column:
-    return F.get("_gates", ((window_end - F.col("_block")) / unit).cast("int"))
+    count = F.reduce(steps, F.lit(0), descend)
+    last = F.when(F.col("_n") > 0, F.get("_gates", F.col("_n") - 1)["at"])
+    # Through a generator, so that filters above do not repeat the search.
+    return (
+        placed.select("*", F.explode(F.array(count)).alias("_n"))
+        .withColumn("_wm", last)
+        .select(*df.columns, "_start", "_stop", "_wm")
+    )
 
 
 def late_output(df: DataFrame, gates: Gates) -> DataFrame:
     """Rows that come too late for every window they belong to."""
     rule = gates.rule
     last_threshold = F.col("_stop") + F.lit(rule.lateness - rule.slide)
-    return (
-        _with_gates(df, gates)
-        .where(F.col(gates.position) > _gate(last_threshold, rule.unit))
-        .select(*df.columns)
-    )
-
-
-def _count_passed(df: DataFrame, gates: Gates) -> DataFrame:
-    """Add ``_passed``, the number of gates before the row's position.
-
-    Gates never fall along the array, so this is a binary search: each step reads
-    one element.
-    """
-    top = gates.rule.gates_per_block.bit_length() - 1
-    steps = F.array(*[F.lit(1 << bit) for bit in range(top, -1, -1)])
-
-    def descend(passed: Column, step: Column) -> Column:
-        ahead = F.get("_gates", passed + step - 1) < F.col(gates.position)
-        return passed + F.when(ahead, step).otherwise(F.lit(0))
-
-    searched = F.reduce(steps, F.lit(0), descend)
-    # Through a generator, so that filters above do not repeat the search.
-    return df.select(*df.columns, F.explode(F.array(searched)).alias("_passed")).drop("_gates")
+    return _passed(df, gates).where(F.col("_wm") >= last_threshold).select(*df.columns)
 
 
 def classify(df: DataFrame, gates: Gates) -> DataFrame:
@@ -213,26 +193,18 @@ def classify(df: DataFrame, gates: Gates) -> DataFrame:
     take it late, ``[_on_time, _stop)`` have it on time.
     """
     rule = gates.rule
-    searched = _count_passed(_with_gates(df, gates), gates)
-    watermark = F.when(
-        F.col("_passed") > 0,
-        F.col("_block") + (F.col("_passed").cast("long") - 1) * rule.unit,
-    )
 
     def first_after(threshold: Column) -> Column:
         end = floor_to(threshold, rule.slide) + F.lit(rule.slide)
         inside = F.least(F.greatest(end, F.col("_start")), F.col("_stop"))
         return F.when(F.col("_wm").isNull(), F.col("_start")).otherwise(inside)
 
-    return (
-        searched.withColumn("_wm", watermark)
-        .select(
-            *df.columns,
-            "_start",
-            first_after(F.col("_wm") - F.lit(rule.lateness)).alias("_accepted"),
-            first_after(F.col("_wm")).alias("_on_time"),
-            "_stop",
-        )
+    return _passed(df, gates).select(
+        *df.columns,
+        "_start",
+        first_after(F.col("_wm") - F.lit(rule.lateness)).alias("_accepted"),
+        first_after(F.col("_wm")).alias("_on_time"),
+        "_stop",
     )
 
 

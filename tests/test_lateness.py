@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import workspace
 from tidemark.operators import changelog, lateness
 from tidemark.operators.lateness import LatenessRule
 from tidemark.plans import hot_urls
@@ -80,7 +81,7 @@ def test_shuffled_gates_give_the_same(spark, monkeypatch):
     rule = RULES[2]
     rows = disordered(rule, seed=3)
     df = frame(spark, rows)
-    monkeypatch.setattr(lateness, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", 0)
     gates = lateness.build_gates(df, rule)
     assert not gates.broadcastable
     got = sorted(int(r.position) for r in lateness.late_output(df, gates).collect())

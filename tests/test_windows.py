@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import workspace
 from tidemark.functions.clock import hours, minutes, seconds
 from tidemark.functions.salts import hashed_salt, numbered_salt, random_salt
 from tidemark.operators import topn, totals
@@ -126,6 +127,36 @@ def test_top_n_of_max_keeps_the_largest_count(spark):
     assert topn.max_per_rank(got).orderBy("rk").collect() == [(10, 1, "a", 5), (10, 2, "b", 4)]
 
 
+@pytest.mark.parametrize("n", [1, 3, 5, 40])
+@pytest.mark.parametrize(
+    "size,slide",
+    [(minutes(10), seconds(5)), (seconds(30), seconds(10)), (seconds(9), seconds(9)),
+     (seconds(7), seconds(3))],
+)
+def test_sliding_top_n_is_exact(spark, monkeypatch, n, size, slide):
+    """A few hot keys, a long tail, ties, a gap; with and without broadcast."""
+    rng = random.Random(n)
+    span = size * 40
+    keys = ["hot"] * 30 + ["warm"] * 10 + ["w2"] * 10 + [f"t{i}" for i in range(30)]
+    rows = [(rng.randrange(-span, span // 3), rng.choice(keys)) for _ in range(1500)]
+    rows += [(span + size * 50 + rng.randrange(size), rng.choice(keys)) for _ in range(60)]
+    df = events(spark, rows)
+    ends = {}
+    for (end, key), c in brute(rows, size, slide).items():
+        ends.setdefault(end, []).append((-c, key))
+    want = sorted(
+        (end, i + 1, key, -c)
+        for end, ranked in ends.items()
+        for i, (c, key) in enumerate(sorted(ranked)[:n])
+    )
+    got = topn.sliding_top_n(df, n, "key", size, slide)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    if n == 3:
+        monkeypatch.setattr(workspace, "BROADCAST_BYTES", 0)
+        got = topn.sliding_top_n(df, n, "key", size, slide)
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_sliding_plan(spark, plan):
     """Slots are pre-aggregated; the window copies are never shuffled."""
     df = events(spark, [(1, "a")])

@@ -30,12 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to, slot_end
-from ..workspace import cut_lineage
+from ..workspace import cut_lineage, may_broadcast
 from .windows import interval_sums
 
-# Gates up to this size are broadcast. Larger ones are joined by shuffle, where
-# adaptive execution splits a block that holds too many rows.
-BROADCAST_BYTES = 128 * 1024 * 1024
 _GATE_BYTES = 64  # one array element, a struct of a long and a decimal(38)
 
 
@@ -147,8 +144,8 @@ def build_gates(
             ).alias("_gates")
         )
     )
-    size = table.agg(F.sum(F.size("_gates"))).head()[0] or 0
-    return Gates(table, rule, event_ms, position, size * _GATE_BYTES <= BROADCAST_BYTES)
+    gates = table.agg(F.sum(F.size("_gates"))).head()[0] or 0
+    return Gates(table, rule, event_ms, position, may_broadcast(gates, _GATE_BYTES))
 
 
 def _passed(df: DataFrame, gates: Gates) -> DataFrame:

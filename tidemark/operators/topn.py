@@ -10,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.clock import floor_to
+from ..workspace import cut_lineage, may_broadcast
+from .windows import as_intervals, interval_steps, sliding_count, slot_counts
+
+_FLOOR_BYTES = 64  # a broadcast row of two longs
+
 
 def top_n(
     counts: DataFrame,
@@ -29,6 +35,72 @@ def top_n(
     )
 
 
+def sliding_top_n(
+    df: DataFrame, n: int, key: str, size: int, slide: int, *, ts: str = "ts"
+) -> DataFrame:
+    """``top_n(sliding_count(...))`` without writing out windows of hopeless keys.
+
+    A window that contains a whole bucket of time counts at least what the bucket
+    counts. So if the n-th best key of a bucket has ``floor`` rows, every window
+    around the bucket has n keys with at least ``floor``, and a key below that
+    cannot be among the first n there. Such keys, usually the long tail, are left
+    out while a window count is still one row per stretch of equal counts.
+
+    Buckets are half a window, so the floors are a table of one row per bucket.
+    """
+    bucket = size // 2 // slide * slide
+    if size % slide or not bucket:
+        return top_n(sliding_count(df, [key], size, slide, ts=ts), n, key)
+    # Used twice below; written once, so that the input is read once.
+    slots = cut_lineage(slot_counts(df, [key], slide, ts=ts))
+    floors = cut_lineage(_floors(slots, n, key, slide, bucket))
+    if may_broadcast(floors.count(), _FLOOR_BYTES):
+        floors = F.broadcast(floors)
+
+    step, width = F.lit(slide).cast("long"), F.lit(bucket).cast("long")
+    steps = interval_steps(
+        as_intervals(slots, size), [key], ["_rows"], size, slide, present="_rows"
+    )
+    pieces = steps.select(
+        "*",
+        F.explode(
+            F.sequence(
+                floor_to(F.col("_at"), bucket), floor_to(F.col("_next") - step, bucket), width
+            )
+        ).alias("_bucket"),
+    )
+    hopeful = pieces.join(floors, "_bucket", "left").where(
+        F.col("_rows") >= F.coalesce("_floor", F.lit(0))
+    )
+    counts = hopeful.select(
+        key,
+        F.col("_rows").alias("count"),
+        F.explode(
+            F.sequence(
+                F.greatest(F.col("_at"), F.col("_bucket")),
+                F.least(F.col("_next"), F.col("_bucket") + width) - step,
+                step,
+            )
+        ).alias("window_end"),
+    )
+    return top_n(counts, n, key)
+
+
+def _floors(slots: DataFrame, n: int, key: str, slide: int, bucket: int) -> DataFrame:
+    """Per bucket of window ends, the count of the n-th best key in the bucket before."""
+    before = floor_to(F.col("_start") - F.lit(slide), bucket)
+    counts = slots.groupBy((before + F.lit(bucket).cast("long")).alias("_bucket"), key).agg(
+        F.sum("_rows").alias("_rows")
+    )
+    return (
+        top_n(counts, n, key, window="_bucket", count="_rows")
+        .groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_keys"), F.min("_rows").alias("_floor"))
+        .where(F.col("_keys") == n)
+        .select("_bucket", "_floor")
+    )
+
+
 def top_n_of_max(
     history: DataFrame,
     n: int,

@@ -72,13 +72,26 @@ def sliding_count(
     if size % slide:
         return _sliding_count_direct(df, keys, size, slide, ts, counted, name)
     measures = ["_rows"] if counted is None else ["_rows", "_values"]
+    slots = slot_counts(df, keys, slide, ts=ts, counted=counted)
+    counts = interval_sums(
+        as_intervals(slots, size), keys, measures, size, slide, present="_rows"
+    )
+    return counts.select("window_end", *keys, F.col(measures[-1]).alias(name))
+
+
+def slot_counts(
+    df: DataFrame, keys: Sequence[str], slide: int, *, ts: str = "ts", counted: str | None = None
+) -> DataFrame:
+    """Rows per key and slide-wide slot, named by the slot's end in ``_start``."""
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     if counted is not None:
         aggregates.append(F.count(F.col(counted)).alias("_values"))
-    slots = df.groupBy(*keys, slot_end(_event_ms(ts), slide).alias("_start")).agg(*aggregates)
-    intervals = slots.withColumn("_stop", F.col("_start") + F.lit(size).cast("long"))
-    counts = interval_sums(intervals, keys, measures, size, slide, present="_rows")
-    return counts.select("window_end", *keys, F.col(measures[-1]).alias(name))
+    return df.groupBy(*keys, slot_end(_event_ms(ts), slide).alias("_start")).agg(*aggregates)
+
+
+def as_intervals(slots: DataFrame, size: int) -> DataFrame:
+    """The window ends each slot counts for: ``[_start, _stop)``."""
+    return slots.withColumn("_stop", F.col("_start") + F.lit(size).cast("long"))
 
 
 def _sliding_count_direct(df, keys, size, slide, ts, counted, name) -> DataFrame:
@@ -105,6 +118,25 @@ def interval_sums(
     ``intervals`` has ``keys``, LONG ``measures`` and ``[_start, _stop)`` on the
     slide grid. A window end is reported where the sum of ``present`` is positive.
     """
+    steps = interval_steps(intervals, keys, measures, size, slide, present=present)
+    step = F.lit(slide).cast("long")
+    return steps.select(
+        *keys,
+        *measures,
+        F.explode(F.sequence(F.col("_at"), F.col("_next") - step, step)).alias("window_end"),
+    )
+
+
+def interval_steps(
+    intervals: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    size: int,
+    slide: int,
+    *,
+    present: str,
+) -> DataFrame:
+    """As :func:`interval_sums`, one row per stretch ``[_at, _next)`` of equal sums."""
     step = F.lit(slide).cast("long")
     chunk_ms = F.lit(size * _CHUNK_SIZES).cast("long")
     chunk_start = F.col("_chunk")
@@ -142,14 +174,9 @@ def interval_sums(
 
     by_time = Window.partitionBy(*keys, "_chunk").orderBy("_at")
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = edges.select(
+    return edges.select(
         *keys,
         "_at",
         F.lead("_at").over(by_time).alias("_next"),
         *[F.sum(m).over(so_far).alias(m) for m in measures],
     ).where((F.col("_next") > F.col("_at")) & (F.col(present) > 0))
-    return steps.select(
-        *keys,
-        *measures,
-        F.explode(F.sequence(F.col("_at"), F.col("_next") - step, step)).alias("window_end"),
-    )

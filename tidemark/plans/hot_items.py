@@ -10,7 +10,7 @@ from ..functions.clock import hours, minutes
 from ..functions.event_time import behavior_time, page_views
 from ..functions.parsing import parse_behavior
 from ..functions.reports import item_report
-from ..operators.topn import top_n
+from ..operators.topn import sliding_top_n, top_n
 from ..operators.windows import sliding_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
@@ -36,7 +36,7 @@ def hot_items(
     behavior: DataFrame, n: int = TOP, size: int = SIZE, slide: int = SLIDE
 ) -> DataFrame:
     """Ranked rows (window_end, rk, item_id, count)."""
-    return top_n(item_counts(behavior, size, slide), n, "item_id")
+    return sliding_top_n(page_views(behavior_time(behavior)), n, "item_id", size, slide)
 
 
 def hot_items_report(spark, path: str, n: int = TOP) -> DataFrame:

@@ -24,7 +24,7 @@ from ..operators.lateness import (
     revised_counts,
     revised_windows,
 )
-from ..operators.topn import as_table_rows, max_per_rank, top_n
+from ..operators.topn import as_table_rows, max_per_rank, sliding_top_n, top_n
 from ..operators.windows import sliding_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
@@ -50,7 +50,7 @@ def url_counts(log: DataFrame, size: int = SIZE, slide: int = SLIDE) -> DataFram
 
 def hot_urls(log: DataFrame, n: int = TOP, size: int = SIZE, slide: int = SLIDE) -> DataFrame:
     """Ranked rows (window_end, rk, url, count), every record counted."""
-    return top_n(url_counts(log, size, slide), n, "url")
+    return sliding_top_n(get_requests(access_log_time(log, DELAY)), n, "url", size, slide)
 
 
 def hot_urls_report(spark, path: str, n: int = TOP) -> DataFrame:
@@ -125,8 +125,11 @@ def table_top(counts: DataFrame, n: int = TOP) -> DataFrame:
 
 
 def upsert_rows(log: DataFrame, n: int = TOP) -> DataFrame:
-    """endtime1, rk, url2, counts2: what the upsert table ends up with."""
-    return max_per_rank(table_top(table_counts(log), n))
+    """endtime1, rk, url2, counts2: what the upsert table ends up with.
+
+    Its columns take no nulls, so records without url are left out.
+    """
+    return max_per_rank(as_table_rows(hot_urls(log.where("url is not null"), n), "url"))
 
 
 # -- streams -----------------------------------------------------------------

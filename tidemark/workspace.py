@@ -38,3 +38,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager=True)
+
+
+# Side tables up to this size are broadcast. Larger ones are joined by shuffle,
+# where adaptive execution splits a key that holds too many rows.
+BROADCAST_BYTES = 128 * 1024 * 1024
+
+
+def may_broadcast(rows: int, row_bytes: int) -> bool:
+    return rows * row_bytes <= BROADCAST_BYTES

@@ -36,6 +36,16 @@ def _log(spark, sf_dir, *extra):
     return ev.as_access_log(ev.read_events(spark, sf_dir), *extra)
 
 
+def _views(spark, sf_dir, *extra):
+    """Behavior records of page views, read by a pushed-down filter."""
+    return ev.as_behavior(ev.of_types(ev.read_events(spark, sf_dir), ev.VIEW_TYPES), *extra)
+
+
+def _requests(spark, sf_dir, *extra):
+    """Access-log records of GET requests, read by a pushed-down filter."""
+    return ev.as_access_log(ev.of_types(ev.read_events(spark, sf_dir), ev.GET_TYPES), *extra)
+
+
 def _arriving_log(spark, sf_dir):
     """The access log with millisecond event time and a disordered arrival."""
     event_ms = F.unix_millis("ts")
@@ -97,55 +107,55 @@ def rowtime_projection(spark, sf_dir):
 
 
 def sliding_count_items(spark, sf_dir):
-    return hot_items.item_counts(_behavior(spark, sf_dir))
+    return hot_items.item_counts(_views(spark, sf_dir))
 
 
 def sliding_count_urls(spark, sf_dir):
-    return hot_urls.url_counts(_log(spark, sf_dir))
+    return hot_urls.url_counts(_requests(spark, sf_dir))
 
 
 def table_sliding_count(spark, sf_dir):
-    return hot_urls.table_counts(_log(spark, sf_dir))
+    return hot_urls.table_counts(_requests(spark, sf_dir))
 
 
 def pv_plain_total(spark, sf_dir):
-    return page_views.page_view_total_plain(_behavior(spark, sf_dir))
+    return page_views.page_view_total_plain(_views(spark, sf_dir))
 
 
 def salted_partial_count(spark, sf_dir):
     return page_views.page_view_partials(
-        _behavior(spark, sf_dir, "event_id"), _numbered_salt("pv_")
+        _views(spark, sf_dir, "event_id"), _numbered_salt("pv_")
     )
 
 
 def salt_udf(spark, sf_dir):
-    views = event_time.page_views(_behavior(spark, sf_dir, "event_id"))
+    views = event_time.page_views(_views(spark, sf_dir, "event_id"))
     return views.select("event_id", _numbered_salt(F.col("behavior")).alias("random_k"))
 
 
 def pv_salted_total(spark, sf_dir):
     return page_views.page_view_total(
-        _behavior(spark, sf_dir), salt=salts.random_salt("pv_", seed=7)
+        _views(spark, sf_dir), salt=salts.random_salt("pv_", seed=7)
     )
 
 
 def pv_table_total(spark, sf_dir):
-    return page_views.table_totals(page_views.table_partials(_behavior(spark, sf_dir)))
+    return page_views.table_totals(page_views.table_partials(_views(spark, sf_dir)))
 
 
 # -- rankings -----------------------------------------------------------------
 
 
 def hot_items_topn(spark, sf_dir):
-    return hot_items.hot_items(_behavior(spark, sf_dir))
+    return hot_items.hot_items(_views(spark, sf_dir))
 
 
 def hot_urls_topn(spark, sf_dir):
-    return hot_urls.hot_urls(_log(spark, sf_dir))
+    return hot_urls.hot_urls(_requests(spark, sf_dir))
 
 
 def topn_table_agg(spark, sf_dir):
-    return hot_urls.table_top(hot_urls.table_counts(_log(spark, sf_dir)))
+    return hot_urls.table_top(hot_urls.table_counts(_requests(spark, sf_dir)))
 
 
 def topn_max_of_history(spark, sf_dir):
@@ -161,11 +171,11 @@ def topn_max_of_history(spark, sf_dir):
 
 
 def topn_rank_max(spark, sf_dir):
-    return hot_urls.upsert_rows(_log(spark, sf_dir))
+    return hot_urls.upsert_rows(_requests(spark, sf_dir))
 
 
 def topn_upsert_table(spark, sf_dir):
-    return checked_rows(hot_urls.upsert_rows(_log(spark, sf_dir)))
+    return checked_rows(hot_urls.upsert_rows(_requests(spark, sf_dir)))
 
 
 # -- lateness and change rows -------------------------------------------------
@@ -206,7 +216,7 @@ def changelog_materialize(spark, sf_dir):
 
 def pv_retract_changelog(spark, sf_dir):
     partials = page_views.table_partials(
-        _behavior(spark, sf_dir, "event_id"), salt=_numbered_salt(F.col("behavior"))
+        _views(spark, sf_dir, "event_id"), salt=_numbered_salt(F.col("behavior"))
     )
     return page_views.table_changes(partials)
 

@@ -100,3 +100,44 @@ def test_labelled_text(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == [
         "sideOutPut> (a,null,1)"
     ]
+
+
+def test_table_form_stream_into_the_table(spark, tmp_path, target):
+    """Access-log lines to a stream, its closed windows to upserts."""
+    from tidemark.functions.parsing import parse_access_log
+    from tidemark.plans import hot_urls
+    from tidemark.sources.lines import read_lines
+    from tidemark.streaming.end_of_input import END_ACCESS_LOG_LINE
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [
+        f"ip u - 01/01/2024:00:{i % 3:02}:{i:02} +0000 {'GET' if i % 4 else 'POST'} /p/{i % 7}"
+        for i in range(50)
+    ]
+    (folder / "log.txt").write_text("\n".join([*lines, END_ACCESS_LOG_LINE]) + "\n")
+    to, table = target
+    hot_urls.start_hot_urls(
+        parse_access_log(read_lines(spark, str(folder), streaming=True)),
+        upsert_batches(to, hot_urls.upsert_batch()),
+        str(tmp_path / "cp"),
+        delay=hot_urls.DELAY,
+    ).awaitTermination()
+    log = parse_access_log(read_lines(spark, str(folder)))
+    want = sorted(tuple(r) for r in hot_urls.upsert_rows(log).collect())
+    assert table() == want and len(want) > 500
+
+
+def test_console(spark, tmp_path, capfd):
+    from tidemark.sinks.text import console, show
+    from tidemark.sources.lines import read_lines
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("hello\n")
+    query = console(read_lines(spark, str(folder), streaming=True), str(tmp_path / "cp"))
+    query.awaitTermination()
+    # The stream prints from the JVM, which pytest does not redirect.
+    assert query.exception() is None and query.lastProgress.sink.numOutputRows == 1
+    show(read_lines(spark, str(folder)))
+    assert "hello" in capfd.readouterr().out

@@ -178,3 +178,4 @@ def test_count_plan_reads_two_columns(spark, plan):
     text = plan(entry.pv_plain_total(spark, entry.SMOKE_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in text
     assert "partial_count(1)" in text
+    assert "In(event_type, [pv,view])" in text or "In(event_type, [view,pv])" in text

@@ -32,6 +32,20 @@ def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) ->
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+# Event types that become page views and GET requests.
+VIEW_TYPES = ("view", "pv")
+GET_TYPES = ("view", "click")
+
+
+def of_types(events: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    """Only events of ``types``, as a predicate the file scan takes.
+
+    The filters on the derived behavior and method columns keep the same rows but
+    are conditional expressions by then. For batch jobs that need no other rows.
+    """
+    return events.where(F.col("event_type").isin(*types))
+
+
 def _item() -> Column:
     return F.get_json_object("props", "$.k").cast("long")
 

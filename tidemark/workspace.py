@@ -19,7 +19,7 @@ _local_root: str | None = None
 
 def shared_root(spark: SparkSession) -> str:
     global _local_root
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if _local_root is None:

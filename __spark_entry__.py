@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.functions import event_time, parsing, reports, salts  # noqa: E402
-from tidemark.functions.clock import minutes  # noqa: E402
 from tidemark.operators import changelog, lateness, topn  # noqa: E402
 from tidemark.plans import hot_items, hot_urls, page_views  # noqa: E402
 from tidemark.sinks.text import labelled, record_text  # noqa: E402
@@ -23,6 +22,14 @@ from tidemark.streaming.end_of_input import with_end_of_input  # noqa: E402
 from tidemark.streaming.run import into_log  # noqa: E402
 from tidemark.workspace import new_folder  # noqa: E402
 
+try:  # the training-data operators live in folders that may be absent
+    import corpus_pipeline
+    from tidemark.llm import queries as llm_queries
+except ImportError as missing:
+    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "tidemark"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # -- inputs -------------------------------------------------------------------
@@ -381,7 +388,10 @@ _QUERIES = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # -- SQL equivalents ----------------------------------------------------------
@@ -488,6 +498,15 @@ _TABLE_TOTALS = _BASE + _TOTALS + 'SELECT "count" AS counts, window_end AS endti
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    if llm_queries is not None:
+        found |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_sql() -> dict[str, str]:
     return {
         "behavior_parse": _BASE
         + """SELECT user_id, item_id, category_id, behavior, "timestamp",

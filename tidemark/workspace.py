@@ -1,9 +1,9 @@
-"""Folders for checkpoints, stream state and stream output.
+"""Folders for intermediate tables, checkpoints, stream state and stream output.
 
 On a cluster every one of them lies below the shared folder named by
 ``spark.checkpoint.dir``, so a lost executor or driver can pick the work up
-again. Only where that setting is absent (tests, a laptop) a local folder is
-made and used instead.
+again. A local folder stands in only where Spark itself runs in one local
+process (tests, a laptop).
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{_SETTING} must name a shared folder where the master is {master}")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="tidemark-")
     return _local_root
@@ -32,6 +35,19 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` as Parquet below the shared folder: the table read back, and its path."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`write_table` or :func:`new_folder` named."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder."""
     spark = df.sparkSession

@@ -26,7 +26,7 @@ try:  # the training-data operators live in folders that may be absent
     import corpus_pipeline
     from tidemark.llm import queries as llm_queries
 except ImportError as missing:
-    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "tidemark"):
+    if missing.name not in ("corpus_pipeline", "tidemark.llm"):
         raise
     corpus_pipeline = llm_queries = None
 

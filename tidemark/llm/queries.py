@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import exact_dedup, language, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels")
+    score = quality.learn(documents, "doc_id", "text", labels, "doc_id", "quality")
+    return quality.scored(documents, "doc_id", "text", score)
+
+
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -19,7 +26,21 @@ def op6_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {query.__name__: query for query in (op4_simhash_components, op6_exact_owners)}
+def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    identify = language.learn(documents, "doc_id", "text", "lang")
+    return language.predicted(documents, "doc_id", "text", identify)
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op3_quality_votes,
+        op4_simhash_components,
+        op6_exact_owners,
+        op9_language_centroids,
+    )
+}
 
 ORACLE_SQL = {
     "op6_exact_owners": r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language, quality, simhash
+from tidemark.llm import embedding_dedup, exact_dedup, language, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op6_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op8_vector_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return embedding_dedup.near_vectors(vectors, "vec_id", "embedding", "label")
+
+
 def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     identify = language.learn(documents, "doc_id", "text", "lang")
@@ -38,6 +43,7 @@ QUERIES = {
         op3_quality_votes,
         op4_simhash_components,
         op6_exact_owners,
+        op8_vector_collisions,
         op9_language_centroids,
     )
 }

@@ -30,11 +30,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidemark.llm.blocks import WITHIN, dealt, runs, whole_parts
 from tidemark.llm.components import components
 from tidemark.llm.rows import col, field, packed, text_of
-from tidemark.workspace import may_broadcast, write_table
+from tidemark.workspace import write_table
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -96,123 +96,57 @@ def _variants(prints: DataFrame, max_bits: int) -> DataFrame:
     return prints.select("fp", F.explode(F.array(*keys)).alias("variant"))
 
 
-def _links_of_runs(key: np.ndarray, fp: np.ndarray, left: np.ndarray, max_bits: int):
-    """Spanning links of each run of equal keys.
-
-    ``left`` splits a run in two sides where it pairs two blocks: 0 and 1 are compared
-    with each other only; 2 marks a run whose members are all compared.
-    """
-    n = len(key)
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    sizes = np.diff(np.concatenate((starts, [n])))
-    found = []
-    small = np.flatnonzero((sizes > 1) & (sizes <= 32) & (left[starts] == 2))
-    if len(small):
-        at, left_over = starts[small], sizes[small]
-        for step in range(1, int(left_over.max())):
-            for offset in range(int(left_over.max()) - step):
-                fits = left_over > offset + step
-                a, b = fp[at[fits] + offset], fp[at[fits] + offset + step]
-                near = np.bitwise_count(a ^ b) <= max_bits
-                if near.any():
-                    found.append((a[near], b[near]))
-    for run in np.flatnonzero((sizes > 1) & ((sizes > 32) | (left[starts] != 2))):
-        s = slice(starts[run], starts[run] + sizes[run])
-        found.extend(_spanning(fp[s], left[s], max_bits))
-    return found
-
-
-def _spanning(fp: np.ndarray, left: np.ndarray, max_bits: int) -> Iterator[tuple]:
-    """Links that connect whatever the verified pairs connect, found breadth first."""
-    one = left[0] == 2
-    if not one and (left == left[0]).all():
-        return  # one side only
-    open_ = np.ones(len(fp), dtype=bool)
+def _links_of_runs(starts: np.ndarray, fp: np.ndarray, side: np.ndarray, max_bits: int):
+    """Spanning links of each part; ``starts`` ends with the number of rows."""
+    sizes = np.diff(starts)
+    first = starts[:-1]
+    small = (sizes > 1) & (sizes <= 16) & (side[first] == WITHIN)
+    # All pairs of the small parts at once, by their places in the part.
+    at, count = first[small], sizes[small]
+    for a in range(int(count.max(initial=0)) - 1):
+        for b in range(a + 1, int(count.max())):
+            fits = at[count > b]
+            x, y = fp[fits + a], fp[fits + b]
+            near = np.bitwise_count(x ^ y) <= max_bits
+            if near.any():
+                yield x[near], y[near]
+    for run in np.flatnonzero((sizes > 1) & ~small):
+        span = slice(starts[run], starts[run + 1])
+        yield from _spanning(fp[span], side[span], max_bits)
+
+
+def _spanning(fp: np.ndarray, side: np.ndarray, max_bits: int) -> Iterator[tuple]:
+    """Links that connect whatever the verified pairs of a part connect."""
+    within = side[0] == WITHIN
+    unseen = np.ones(len(fp), dtype=bool)
     for root in range(len(fp)):
-        if not open_[root]:
+        if not unseen[root]:
             continue
-        open_[root] = False
+        unseen[root] = False
         frontier = [root]
         while frontier:
             at = frontier.pop()
-            mates = open_ if one else open_ & (left != left[at])
-            near = np.flatnonzero(mates)
+            near = np.flatnonzero(unseen if within else unseen & (side != side[at]))
             near = near[np.bitwise_count(fp[near] ^ fp[at]) <= max_bits]
             if len(near):
-                open_[near] = False
+                unseen[near] = False
                 frontier.extend(near.tolist())
                 yield np.repeat(fp[at], len(near)), fp[near]
 
 
-def _link_batches(max_bits: int):
+def linked(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """``(a, b)``: links that connect all fingerprints ``fp`` at ``max_bits`` or fewer bits."""
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key; a run may go on in the next batch."""
-        rest = None
-        for batch in _with_end(batches):
-            if batch is None:
-                whole, rest = rest, None
-            else:
-                now = [
-                    np.column_stack(
-                        [
-                            batch.column("variant").to_numpy(),
-                            batch.column("part").to_numpy(),
-                        ]
-                    ),
-                    batch.column("fp").to_numpy().view(np.uint64),
-                    batch.column("side").to_numpy(),
-                ]
-                if rest is not None:
-                    now = [np.concatenate(pair) for pair in zip(rest, now)]
-                others = np.flatnonzero((now[0] != now[0][-1:]).any(axis=1))
-                cut = int(others[-1]) + 1 if len(others) else 0
-                whole, rest = [x[:cut] for x in now], [x[cut:] for x in now]
-            if whole is None or not len(whole[1]):
-                continue
-            keys = whole[0]
-            change = np.concatenate(([0], np.cumsum((keys[1:] != keys[:-1]).any(axis=1))))
-            for a, b in _links_of_runs(change, whole[1], whole[2], max_bits):
+        for table in whole_parts(batches, "variant"):
+            fp, side = table["fp"].to_numpy().view(np.uint64), table["side"].to_numpy()
+            for a, b in _links_of_runs(runs(table, "variant"), fp, side, max_bits):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
                 )
 
-    return links
-
-
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
-def linked(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: links that connect all fingerprints ``fp`` at ``max_bits`` or fewer bits."""
-    spark = prints.sparkSession
-    variants = _variants(prints, max_bits)
-    crowded = (
-        variants.groupBy("variant").count().where(F.col("count") > block)
-        .select(F.col("variant").alias("v"), F.ceil(F.col("count") / block).alias("blocks"))
-    )
-    crowded, _ = write_table(crowded, "variants")
-    rows = crowded.count()
-    side = F.broadcast(crowded) if may_broadcast(rows, 32) else crowded
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    # Block x meets itself as part (x, x), and each other block y as part (min, max).
-    mates = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-        lambda y: F.struct(
-            (F.least(own, y) * F.col("blocks") + F.greatest(own, y)).alias("part"),
-            F.when(own == y, 2).when(own < y, 0).otherwise(1).cast("byte").alias("side"),
-        ),
-    )
-    alone = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit(2).cast("byte").alias("side")))
-    dealt = variants.join(side, F.col("variant") == F.col("v"), "left").select(
-        "variant", "fp", F.explode(F.when(F.col("v").isNull(), alone).otherwise(mates)).alias("m")
-    )
-    return (
-        dealt.select("variant", "m.part", "m.side", "fp")
-        .repartition("variant", "part")
-        .sortWithinPartitions("variant", "part")
-        .mapInArrow(_link_batches(max_bits), "a long, b long")
+    return dealt(_variants(prints, max_bits), "variant", "fp", block).mapInArrow(
+        links, "a long, b long"
     )
 
 

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, exact_dedup, language, quality, simhash
+from tidemark.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language,
+    mixing,
+    packing,
+    quality,
+    simhash,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.drawn(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
 def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels")
@@ -37,18 +49,61 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(documents, "doc_id", "text", identify)
 
 
+def op10_packed_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_bins(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_mixed_sources,
         op3_quality_votes,
         op4_simhash_components,
         op6_exact_owners,
         op8_vector_collisions,
         op9_language_centroids,
+        op10_packed_bins,
     )
 }
 
+#: The mix: the exponent by 30 steps of bisection, budgets, permutations, prefix sums.
+_MIX = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
+  FROM documents),
+s AS MATERIALIZED (SELECT source, CAST(sum(tokens) AS BIGINT) AS n FROM d GROUP BY 1 HAVING sum(tokens) > 0),
+k AS MATERIALIZED (SELECT CAST(sum(n) AS DOUBLE) AS total, max(n) AS most, min(n) AS least FROM s),
+b AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN low ELSE (low + high) / 2 END,
+         CASE WHEN ok THEN (low + high) / 2 ELSE high END
+  FROM (SELECT b.*, pow(least::DOUBLE / most, (low + high) / 2)
+               / (SELECT sum(pow(n::DOUBLE / most, (b.low + b.high) / 2)) FROM s)
+               * (total / least) <= 4.0 AS ok
+        FROM b, k WHERE step < 30)),
+w AS MATERIALIZED (
+  SELECT source, n, pow(n::DOUBLE / most, high) / (SELECT sum(pow(n::DOUBLE / most, high)) FROM s) AS weight,
+         total
+  FROM s, k, b WHERE step = 30),
+p AS MATERIALIZED (SELECT *, CAST(floor(weight * total) AS BIGINT) AS budget FROM w),
+c AS (
+  SELECT d.*, n, weight, budget, e.epoch,
+         CAST('0x' || substr(md5(concat_ws('/', '11', e.epoch, d.doc_id)), 1, 15) AS BIGINT) AS key
+  FROM d JOIN p USING (source), range(0, 6) e(epoch) WHERE e.epoch <= budget // n),
+q AS (
+  SELECT *, epoch * n + CAST(coalesce(sum(tokens) OVER (
+           PARTITION BY source, epoch ORDER BY key, CAST(doc_id AS VARCHAR)
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position
+  FROM c)
+SELECT doc_id, source, tokens AS n_tokens, epoch, position,
+       CAST(floor(position / (weight * 65536.0::DOUBLE)) AS BIGINT) AS block,
+       CAST('0x' || substr(md5(concat_ws('/', '11b', epoch, doc_id)), 1, 15) AS BIGINT) AS block_order
+FROM q WHERE position < budget"""
+
 ORACLE_SQL = {
+    "op1_mixed_sources": _MIX,
     "op6_exact_owners": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents)

@@ -1,9 +1,10 @@
 """Connected components of a link table, by alternating star contractions.
 
-Each round is two joins against a grouped minimum. Minima are summed up per task
-before they are shuffled, and the joins may be split by adaptive execution, so a
-node with very many links costs no single task more than its share. Every round
-is a table in the shared folder; only a count and a checksum reach the driver.
+Each round is two joins against a grouped minimum. Minima are taken per task before
+they are shuffled. The table of minima is broadcast while its counted size is small;
+beyond that it is written out, so that adaptive execution may split the join's other
+side: a node with very many links costs no single task more than its share. Every
+round is a table in the shared folder; only a count and a checksum reach the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemark.workspace import remove_folder, write_table
 
+#: Minima up to this size are broadcast; a row takes about so much in memory.
+_SMALL_BYTES, _ROW_BYTES = 16 << 20, 64
+
 
 def _directed(pairs: DataFrame) -> DataFrame:
     """Each link once, from its larger to its smaller end."""
@@ -23,18 +27,27 @@ def _directed(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _with_least(links: DataFrame, least: DataFrame, rows: int, paths: list[str]) -> DataFrame:
+    if rows * _ROW_BYTES <= _SMALL_BYTES:
+        side = F.broadcast(least)
+    else:
+        side, path = write_table(least, "minima")
+        paths.append(path)
+    return links.join(side, F.col("a") == F.col("c"))
+
+
+def _large_star(links: DataFrame, rows: int, paths: list[str]) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("c"), F.least("a", "m").alias("m")
     )
-    joined = both.join(least, F.col("a") == F.col("c"))
+    joined = _with_least(both, least, 2 * rows, paths)
     return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, rows: int, paths: list[str]) -> DataFrame:
     least = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), "m")
-    joined = links.join(least, F.col("a") == F.col("c"))
+    joined = _with_least(links, least, rows, paths)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
         least.select(F.col("c").alias("a"), F.col("m").alias("b"))
     )
@@ -56,10 +69,14 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     links, path = write_table(_directed(plain), "links")
     state = _state(links)
     while True:
-        larger, middle = write_table(_directed(_large_star(links)), "links")
-        smaller, after = write_table(_directed(_small_star(larger)), "links")
-        remove_folder(spark, middle)
-        remove_folder(spark, path)
+        gone = [path]
+        rows = state[0]
+        larger, middle = write_table(_directed(_large_star(links, rows, gone)), "links")
+        gone.append(middle)
+        # A contraction never adds links beyond twice their number.
+        smaller, after = write_table(_directed(_small_star(larger, 2 * rows, gone)), "links")
+        for folder in gone:
+            remove_folder(spark, folder)
         links, path, before, state = smaller, after, state, _state(smaller)
         if state == before:
             break

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     embedding_dedup,
@@ -12,7 +13,9 @@ from tidemark.llm import (
     packing,
     quality,
     simhash,
+    warc,
 )
+from tidemark.workspace import write_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +26,20 @@ def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.drawn(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
 
 
+def op2_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = warc.write_archives(pages, "page_id", "html", "url")
+    found, _ = write_table(warc.read_records(spark, path, with_payload=False), "records")
+    page_id = pages.schema["page_id"].dataType
+    return warc.assemble(found).select(
+        F.col("metadata.fields")["page-id"].cast(page_id).alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("original.fields")["page-id"].cast(page_id).alias("refers_to"),
+    )
+
+
 def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels")
@@ -57,6 +74,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_mixed_sources,
+        op2_warc_captures,
         op3_quality_votes,
         op4_simhash_components,
         op6_exact_owners,
@@ -104,6 +122,15 @@ FROM q WHERE position < budget"""
 
 ORACLE_SQL = {
     "op1_mixed_sources": _MIX,
+    "op2_warc_captures": """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n
+           FROM pages),
+k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) ELSE page_id END AS keep
+      FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM k""",
     "op6_exact_owners": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents)

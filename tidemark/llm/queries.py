@@ -9,6 +9,7 @@ from tidemark.llm import (
     embedding_dedup,
     exact_dedup,
     language,
+    licenses,
     mixing,
     packing,
     quality,
@@ -51,6 +52,10 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op5_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op6_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -77,6 +82,7 @@ QUERIES = {
         op2_warc_captures,
         op3_quality_votes,
         op4_simhash_components,
+        op5_license_digests,
         op6_exact_owners,
         op8_vector_collisions,
         op9_language_centroids,

@@ -206,7 +206,7 @@ def _notices(lines: Column, entries: list) -> Column:
     least, most = min(e.chars for e in entries), max(e.chars for e in entries)
     # A line is hashed only where a known text can be as long.
     fitting = F.filter(
-        F.transform(F.split(lines, "\n"), F.trim), lambda x: F.length(x).between(least, most)
+        F.transform(F.split(lines, "\n"), lambda x: F.trim(x)), lambda x: F.length(x).between(least, most)
     )
     by_digest = F.create_map(*[F.lit(v) for e in entries for v in (e.digest, e.license)])
     found = F.transform(fitting, lambda x: F.try_element_at(by_digest, F.sha2(x, 256)))

@@ -14,6 +14,7 @@ from tidemark.llm import (
     packing,
     quality,
     simhash,
+    suffix_dedup,
     warc,
 )
 from tidemark.workspace import write_table
@@ -60,6 +61,10 @@ def op6_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op8_vector_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return embedding_dedup.near_vectors(vectors, "vec_id", "embedding", "label")
@@ -84,6 +89,7 @@ QUERIES = {
         op4_simhash_components,
         op5_license_digests,
         op6_exact_owners,
+        op7_repeated_passages,
         op8_vector_collisions,
         op9_language_centroids,
         op10_packed_bins,

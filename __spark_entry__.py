@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -387,10 +389,25 @@ _QUERIES = [
 ]
 
 
+def _with_workers_path(query):
+    """``query``, with this folder on the path of Spark's Python workers."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if HERE not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([HERE, *paths])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {query.__name__: query for query in _QUERIES}
     if llm_queries is not None:
-        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        own = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        found |= {name: _with_workers_path(query) for name, query in own.items()}
     return found
 
 

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions import event_time, parsing, reports, salts  # noqa: E402
 from tidemark.operators import changelog, lateness, topn  # noqa: E402
 from tidemark.plans import hot_items, hot_urls, page_views  # noqa: E402
+from tidemark.schemas import REPORTS, UPSERT_ROW  # noqa: E402
 from tidemark.sinks.text import labelled, record_text  # noqa: E402
 from tidemark.sinks.upsert import checked_rows  # noqa: E402
 from tidemark.sources import events as ev  # noqa: E402
 from tidemark.streaming.batch_log import BatchLog  # noqa: E402
-from tidemark.streaming.end_of_input import with_end_of_input  # noqa: E402
+from tidemark.streaming.end_of_input import BoundedInput  # noqa: E402
 from tidemark.streaming.run import into_log  # noqa: E402
-from tidemark.workspace import new_folder  # noqa: E402
+from tidemark.workspace import new_folder, write_table  # noqa: E402
 
 try:  # the training-data operators live in folders that may be absent
     import corpus_pipeline
@@ -256,43 +257,80 @@ def pv_report(spark, sf_dir):
 # -- streams: run over all of events, then read back ---------------------------
 
 
-def _streamed(spark, sf_dir, kind, convert):
+#: Each stream query takes its input in several micro-batches: files, at least so
+#: many, of at most so many rows.
+STREAM_FILES, STREAM_FILE_ROWS = 4, 5_000_000
+
+
+def _in_files(spark, sf_dir):
+    """``events`` as a stream that takes one file per micro-batch, in order of time.
+
+    A stream takes files by their age, so they are written one after the other.
+    """
+    events = ev.read_events(spark, sf_dir).withColumn("ts", F.to_timestamp_ntz("ts"))
+    n = max(STREAM_FILES, -(-events.count() // STREAM_FILE_ROWS))
+    ranges, _ = write_table(
+        events.repartitionByRange(n, "ts").withColumn("part", F.spark_partition_id()), "ranges"
+    )
+    folder = new_folder(spark, "arrived")
+    for number in range(n):
+        part = ranges.where(F.col("part") == number).drop("part")
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    return ev.read_events(spark, folder, streaming=True, maxFilesPerTrigger=1)
+
+
+def _bounded(spark, sf_dir, kind, convert):
     """``events`` as a stream of records with ``ts``, and a closing row."""
-    records = convert(ev.read_events(spark, sf_dir, streaming=True), "ts")
-    return with_end_of_input(records, new_folder(spark, "end-of-input"), kind, "ts")
+    records = convert(_in_files(spark, sf_dir), "ts")
+    return BoundedInput(records, new_folder(spark, "end-of-input"), kind, "ts")
 
 
 def _behavior_stream(spark, sf_dir):
-    records = _streamed(spark, sf_dir, "behavior", ev.as_behavior)
-    return event_time.with_event_time(records, F.col("ts"), 0)
+    bounded = _bounded(spark, sf_dir, "behavior", ev.as_behavior)
+    return bounded, event_time.with_event_time(bounded.rows, F.col("ts"), 0)
 
 
 def _log_stream(spark, sf_dir, delay):
-    records = _streamed(spark, sf_dir, "method", ev.as_access_log)
-    return event_time.with_event_time(records, F.col("ts"), delay)
+    bounded = _bounded(spark, sf_dir, "method", ev.as_access_log)
+    return bounded, event_time.with_event_time(bounded.rows, F.col("ts"), delay)
 
 
-def _run(spark, schema, begin):
-    """Start a stream into a new log, wait for it, return the log."""
+def _run(spark, bounded, schema, begin):
+    """Run a stream into a new log to the end of its input, return the log."""
     folder = new_folder(spark, "stream")
     log = BatchLog(spark, f"{folder}/out", schema)
-    begin(log, f"{folder}/checkpoint").awaitTermination()
+    bounded.run(lambda: begin(log, f"{folder}/checkpoint"))
     return log
 
 
 def hot_items_stream(spark, sf_dir):
-    records = _behavior_stream(spark, sf_dir)
+    bounded, records = _behavior_stream(spark, sf_dir)
     return _run(
         spark,
+        bounded,
         hot_items.RANKED,
         lambda log, at: hot_items.start_hot_items(records, log, at, timed=True),
     ).rows()
 
 
+def hot_items_report_stream(spark, sf_dir):
+    """One report block per window, as the windows close."""
+    bounded, records = _behavior_stream(spark, sf_dir)
+    return _run(
+        spark,
+        bounded,
+        REPORTS,
+        lambda log, at: hot_items.start_hot_items(
+            records, into_log(log, hot_items.report_batch()), at, timed=True
+        ),
+    ).rows()
+
+
 def hot_urls_stream(spark, sf_dir):
-    records = _log_stream(spark, sf_dir, hot_urls.DELAY + hot_urls.LATENESS)
+    bounded, records = _log_stream(spark, sf_dir, hot_urls.DELAY + hot_urls.LATENESS)
     return _run(
         spark,
+        bounded,
         hot_urls.RANKED,
         lambda log, at: hot_urls.start_hot_urls(records, log, at, timed=True),
     ).rows()
@@ -300,11 +338,10 @@ def hot_urls_stream(spark, sf_dir):
 
 def hot_urls_table_stream(spark, sf_dir):
     """The table form: upsert rows per micro-batch, the last one per key wins."""
-    from tidemark.schemas import UPSERT_ROW
-
-    records = _log_stream(spark, sf_dir, hot_urls.DELAY)
+    bounded, records = _log_stream(spark, sf_dir, hot_urls.DELAY)
     log = _run(
         spark,
+        bounded,
         UPSERT_ROW,
         lambda log, at: hot_urls.start_hot_urls(
             records, into_log(log, hot_urls.upsert_batch()), at, timed=True
@@ -314,27 +351,41 @@ def hot_urls_table_stream(spark, sf_dir):
 
 
 def hot_urls_late_stream(spark, sf_dir):
-    records = _log_stream(spark, sf_dir, 0)
+    bounded, records = _log_stream(spark, sf_dir, 0)
     folder = new_folder(spark, "stream")
     job = hot_urls.late_job(spark, folder, records)
-    hot_urls.start_hot_urls_late(records, job, f"{folder}/checkpoint").awaitTermination()
+    bounded.run(lambda: hot_urls.start_hot_urls_late(records, job, f"{folder}/checkpoint"))
     return job.current()
 
 
 def pv_stream(spark, sf_dir):
-    records = _behavior_stream(spark, sf_dir)
+    bounded, records = _behavior_stream(spark, sf_dir)
     return _run(
         spark,
+        bounded,
         page_views.TOTALS,
         lambda log, at: page_views.start_page_views(records, log, at, timed=True),
     ).rows()
 
 
+def pv_report_stream(spark, sf_dir):
+    bounded, records = _behavior_stream(spark, sf_dir)
+    return _run(
+        spark,
+        bounded,
+        REPORTS,
+        lambda log, at: page_views.start_page_views(
+            records, into_log(log, reports.pv_report), at, timed=True
+        ),
+    ).rows()
+
+
 def pv_changes_stream(spark, sf_dir):
     """Change rows of the salted total, folded back into the table of totals."""
-    records = _behavior_stream(spark, sf_dir)
+    bounded, records = _behavior_stream(spark, sf_dir)
     log = _run(
         spark,
+        bounded,
         page_views.CHANGES,
         lambda log, at: page_views.start_page_view_changes(records, log, at, timed=True),
     )
@@ -381,6 +432,8 @@ _QUERIES = [
     hot_urls_report,
     pv_report,
     hot_items_stream,
+    hot_items_report_stream,
+    pv_report_stream,
     hot_urls_stream,
     hot_urls_table_stream,
     hot_urls_late_stream,
@@ -524,6 +577,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _own_sql() -> dict[str, str]:
+    found = _batch_sql()
+    for name in ("hot_items_report", "pv_report"):
+        found[f"{name}_stream"] = found[name]
+    return found
+
+
+def _batch_sql() -> dict[str, str]:
     return {
         "behavior_parse": _BASE
         + """SELECT user_id, item_id, category_id, behavior, "timestamp",

@@ -15,7 +15,7 @@ from ..operators.windows import sliding_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
 from ..streaming.counts import stream_count
-from ..streaming.run import into_log, start
+from ..streaming.run import BatchHandler, into_log, start
 
 SIZE, SLIDE, TOP = hours(1), minutes(5), 5
 RANKED = StructType(
@@ -46,7 +46,7 @@ def hot_items_report(spark, path: str, n: int = TOP) -> DataFrame:
 
 def start_hot_items(
     behavior: DataFrame,
-    log: BatchLog,
+    handle: BatchLog | BatchHandler,
     checkpoint: str,
     *,
     n: int = TOP,
@@ -58,7 +58,15 @@ def start_hot_items(
     """Stream form. ``timed``: ``behavior`` already carries ``ts`` and its watermark."""
     records = behavior if timed else behavior_time(behavior)
     counts = stream_count(page_views(records), ["item_id"], size, slide)
-    return start(
-        counts, into_log(log, lambda batch: top_n(batch, n, "item_id")), checkpoint,
-        interval=interval,
-    )
+    if isinstance(handle, BatchLog):
+        handle = into_log(handle, lambda batch: top_n(batch, n, "item_id"))
+    return start(counts, handle, checkpoint, interval=interval)
+
+
+def report_batch(n: int = TOP):
+    """Closed windows' counts to report blocks, for an output handler."""
+
+    def transform(batch: DataFrame) -> DataFrame:
+        return item_report(top_n(batch, n, "item_id"))
+
+    return transform

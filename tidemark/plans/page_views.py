@@ -28,7 +28,7 @@ from ..operators.windows import tumbling_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
 from ..streaming.counts import stream_partial_counts
-from ..streaming.run import into_log, start
+from ..streaming.run import BatchHandler, into_log, start
 
 SIZE, SALTS = hours(1), 8
 TOTALS = StructType(
@@ -102,7 +102,7 @@ def table_changes(partials: DataFrame, order: str = "random_k") -> DataFrame:
 
 def start_page_views(
     behavior: DataFrame,
-    log: BatchLog,
+    handle: BatchLog | BatchHandler,
     checkpoint: str,
     *,
     size: int = SIZE,
@@ -111,7 +111,9 @@ def start_page_views(
 ) -> StreamingQuery:
     records = behavior if timed else behavior_time(behavior)
     totals = salted_total(page_views(records), size)
-    return start(totals, into_log(log, lambda batch: batch), checkpoint, interval=interval)
+    if isinstance(handle, BatchLog):
+        handle = into_log(handle, lambda batch: batch)
+    return start(totals, handle, checkpoint, interval=interval)
 
 
 def start_page_view_changes(

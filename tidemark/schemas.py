@@ -69,3 +69,7 @@ RETRACT_ROW = StructType(
         StructField("endtime", LongType()),
     ]
 )
+
+REPORTS = StructType(
+    [StructField("window_end", LongType()), StructField("report", StringType())]
+)

@@ -20,15 +20,17 @@ EVENTS = T.StructType(
 )
 
 
-def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
-    """``events`` with ``ts`` as TIMESTAMP (UTC)."""
+def read_events(
+    spark: SparkSession, sf_dir: str, *, streaming: bool = False, **options
+) -> DataFrame:
+    """``events`` with ``ts`` as TIMESTAMP (UTC); ``options`` go to the reader.
+
+    On a stream ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch.
+    """
     pin_utc(spark)
-    path = f"{sf_dir}/events.parquet"
-    if streaming:
-        # A pattern, because a stream takes a plain path for a folder.
-        events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    else:
-        events = spark.read.schema(EVENTS).parquet(path)
+    reader = (spark.readStream if streaming else spark.read).schema(EVENTS).options(**options)
+    # A pattern, because a stream takes a plain path for a folder.
+    events = reader.parquet(f"{sf_dir}/events.parque{'[t]' if streaming else 't'}")
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

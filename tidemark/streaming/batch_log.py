@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..workspace import remove_folder
+
 
 class BatchLog:
     """Parquet folder with one partition ``batch_id`` per micro-batch.
@@ -32,8 +33,14 @@ class BatchLog:
         typed = StructType([*self.schema.fields, StructField("batch_id", LongType())])
         return self.spark.read.schema(typed).parquet(self.path).where("batch_id >= 0")
 
-    def before(self, batch_id: int) -> DataFrame:
-        return self.read().where(F.col("batch_id") < batch_id)
+    def of(self, *batch_ids: int) -> DataFrame:
+        """The rows of these batches, by their paths: no other partition is listed."""
+        paths = [f"{self.path}/batch_id={b}" for b in batch_ids or (-1,)]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def remove(self, batch_id: int) -> None:
+        if batch_id >= 0:
+            remove_folder(self.spark, f"{self.path}/batch_id={batch_id}")
 
     def rows(self) -> DataFrame:
         return self.read().select(*self.schema.names)

@@ -6,16 +6,21 @@ ranks them again when late rows come in, and hands rows that are late for all
 their windows to a second output. It keeps no operator state: per micro-batch
 
 1. the watermark is the largest event time of all earlier batches minus the
-   delay (one row per batch in ``progress``);
+   delay;
 2. wanted rows late for every window go to ``late``;
 3. the other wanted rows become counted intervals of window ends per key, cut
    where windows are already closed for good, and are added to ``intervals``;
 4. windows the batch's own watermark closes, and closed ones that got late
    rows, are counted from the intervals that reach them, ranked, and written to
-   ``ranked`` with the batch id as version.
-
-All four are keyed by batch id, and a batch reads earlier ones only, so a batch
-run again after a failure gives the same rows.
+   ``ranked`` with the batch id as version;
+5. ``progress`` gets the largest event time so far and the batches whose
+   intervals can still matter, which are those of the last window size and
+   lateness.
+
+A batch reads the progress of the one before it and the intervals it names, by
+their paths. Everything older is removed, so what is kept is bounded by the time
+a window stays open; ``late`` and ``ranked`` are outputs and grow. A batch run
+again after a failure finds what it found the first time and gives the same rows.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     IntegerType,
     LongType,
     StructField,
@@ -59,7 +65,12 @@ class LateTopN:
         self.rule = rule or LatenessRule()
         self.key, self.wanted, self.n, self.ts = key, wanted, n, ts
         key_field = records[key]
-        self.progress = BatchLog(spark, f"{path}/progress", StructType(_longs("max_ms")))
+        live = ArrayType(StructType(_longs("batch", "max_ms")))
+        self.progress = BatchLog(
+            spark,
+            f"{path}/progress",
+            StructType([*_longs("max_ms"), StructField("live", live)]),
+        )
         self.late = BatchLog(spark, f"{path}/late", records)
         self.intervals = BatchLog(
             spark,
@@ -89,15 +100,9 @@ class LateTopN:
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         rule = self.rule
         event_ms = F.unix_millis(self.ts)
-        before = self.progress.before(batch_id)
-        # One number per run of the handler, both from aggregates.
-        seen = before.agg(F.max("max_ms")).head()[0]
+        seen, live = self._progress_before(batch_id)
         newest = batch.agg(F.max(event_ms)).head()[0]
         high = max((ms for ms in (seen, newest) if ms is not None), default=None)
-        self.progress.write(
-            batch.sparkSession.range(1).select(F.lit(high).cast("long").alias("max_ms")),
-            batch_id,
-        )
 
         closed_for_good = None if seen is None else seen - rule.delay - rule.lateness + 1
         start = slot_end(event_ms, rule.slide)
@@ -105,6 +110,7 @@ class LateTopN:
             "_stop", F.col("_start") + F.lit(rule.size).cast("long")
         )
         if closed_for_good is None:
+            live = []  # no batch had rows yet
             self.late.write(batch.where(F.lit(False)), batch_id)
             first_open = F.col("_start")
         else:
@@ -113,6 +119,8 @@ class LateTopN:
             first_open = F.greatest(F.col("_start"), F.lit(open_end).cast("long"))
             too_late = self.wanted & (F.col("_stop") <= F.lit(open_end))
             self.late.write(placed.where(too_late), batch_id)
+            # Windows of these batches have all been closed for good before.
+            live = [(b, ms) for b, ms in live if ms + rule.size + rule.slide > closed_for_good]
         self.intervals.write(
             placed.where(self.wanted)
             .withColumn("_start", first_open)
@@ -121,9 +129,36 @@ class LateTopN:
             .agg(F.count(F.lit(1)).alias("_rows")),
             batch_id,
         )
-        self.ranked.write(self._fire(batch, batch_id, seen, high), batch_id)
-
-    def _fire(self, batch: DataFrame, batch_id: int, seen: int | None, high: int | None):
+        self.ranked.write(self._fire(batch, batch_id, seen, high, [b for b, _ in live]), batch_id)
+        self._put_progress(batch_id, high, [*live, (batch_id, -1 if high is None else high)])
+
+    def _progress_before(self, batch_id: int) -> tuple[int | None, list[tuple[int, int]]]:
+        """The largest event time, and ``(batch, largest event time then)`` of the live
+        batches; both as the batch before left them."""
+        if batch_id <= 0:
+            return None, []
+        last = self.progress.of(batch_id - 1).head()
+        return last.max_ms, [(b.batch, b.max_ms) for b in last.live]
+
+    def _put_progress(self, batch_id: int, high: int | None, live: list) -> None:
+        """Write the batch's progress and remove what no batch can ask for any more.
+
+        Only this batch and later ones can run from here on. They ask for the progress
+        of the batch before this one and the intervals it names; the one before that is
+        kept to tell, also when this batch runs again, which intervals it left behind.
+        """
+        row = self.progress.spark.createDataFrame([(high, live)], self.progress.schema)
+        self.progress.write(row, batch_id)
+        if batch_id >= 2:
+            _, kept = self._progress_before(batch_id)
+            _, earlier = self._progress_before(batch_id - 1)
+            for gone in {b for b, _ in earlier} - {b for b, _ in kept}:
+                self.intervals.remove(gone)
+        self.progress.remove(batch_id - 3)
+
+    def _fire(
+        self, batch: DataFrame, batch_id: int, seen: int | None, high: int | None, live: list[int]
+    ):
         rule = self.rule
         spark = batch.sparkSession
         if high is None:
@@ -131,17 +166,9 @@ class LateTopN:
         # Window ends closed before this batch and closed now (inclusive).
         old_close = None if seen is None else seen - rule.delay + 1
         now_close = high - rule.delay + 1
-        current = self.intervals.read().where(F.col("batch_id") <= batch_id)
+        current = self.intervals.of(*live, batch_id)
         if old_close is not None:
             low = old_close - rule.lateness
-            # Batches all of whose intervals end before the windows that can fire.
-            oldest = (
-                self.progress.before(batch_id)
-                .where(F.col("max_ms") + rule.size + rule.slide > low)
-                .agg(F.min("batch_id"))
-                .head()[0]
-            )
-            current = current.where(F.col("batch_id") >= (batch_id if oldest is None else oldest))
             floor_end = low - low % rule.slide + rule.slide
             current = current.withColumn(
                 "_start", F.greatest(F.col("_start"), F.lit(floor_end).cast("long"))
@@ -155,8 +182,8 @@ class LateTopN:
         ).withColumnRenamed("_rows", "count")
         if old_close is not None:
             late_again = (
-                self.intervals.read()
-                .where((F.col("batch_id") == batch_id) & (F.col("_start") <= old_close))
+                self.intervals.of(batch_id)
+                .where(F.col("_start") <= old_close)
                 .select(
                     F.explode(
                         F.sequence(

@@ -21,6 +21,9 @@ are equal windows: a repeated interval. No suffix is sorted again.
 A gram with more distinct snippets than ``crowd`` is not gathered in one task: its
 windows are counted by digest instead, spread over all tasks.
 
+Texts meet their snippets and spans by shuffled joins at every size: both sides grow with
+the corpus.
+
 Defined cases. A null text is empty. Texts shorter than ``length`` lose nothing. Rows
 that are repeated, or share an id, are texts of their own, so a repeated row with a text
 of ``length`` bytes or more loses all of it. Very long texts are cut into slices that
@@ -49,8 +52,6 @@ LETTER = 16
 CROWD = 3000
 #: Positions merged at once, and those of a shard, about.
 BATCH_POSITIONS, SHARD_POSITIONS = 1 << 20, 1 << 19
-#: Side tables up to this size are broadcast instead of shuffling whole texts to them.
-_SIDE_BYTES = 24 << 20
 
 _SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -452,10 +453,9 @@ def spans_to_remove(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         ),
         "snippets",
     )
-    n_texts, n = wanted.agg(F.count("*"), F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()
-    side = F.broadcast(wanted) if n * 48 + n_texts * 64 <= _SIDE_BYTES else wanted
+    n = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
     snippets, _ = write_table(
-        texts.join(side, F.col("uid") == F.col("w_uid"))
+        texts.join(wanted.hint("shuffle_merge"), F.col("uid") == F.col("w_uid"))
         .select("text", "wanted")
         .mapInArrow(
             _cut_out(length),
@@ -525,10 +525,8 @@ def without_repeats(
         spans_to_remove(rows.select("uid", "text"), length, crowd).withColumnRenamed("uid", "s_uid"),
         "spans",
     )
-    n, pieces = spans.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
-    side = F.broadcast(spans) if n * 64 + pieces * 24 <= _SIDE_BYTES else spans
     return (
-        rows.join(side, F.col("uid") == F.col("s_uid"), "left")
+        rows.join(spans.hint("shuffle_merge"), F.col("uid") == F.col("s_uid"), "left")
         .select(
             "doc_id",
             F.octet_length("text").cast("long").alias("n_bytes"),

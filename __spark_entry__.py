@@ -99,6 +99,19 @@ def behavior_quarantine(spark, sf_dir):
     ).unionByName(bad.select(F.lit("bad").alias("label"), "value"))
 
 
+def access_log_quarantine(spark, sf_dir):
+    """Every record that is no GET request is cut short, hence malformed."""
+    lines = ev.access_log_lines(_log(spark, sf_dir)).select(
+        F.when(F.col("value").contains(" GET "), F.col("value"))
+        .otherwise(F.substring_index("value", " ", 5))
+        .alias("value")
+    )
+    good, bad = parsing.split_access_log(lines)
+    return good.select(F.lit("good").alias("label"), F.concat_ws(
+        " ", *[F.col(c).cast("string") for c in good.columns]).alias("value")
+    ).unionByName(bad.select(F.lit("bad").alias("label"), "value"))
+
+
 def behavior_filter_pv(spark, sf_dir):
     return event_time.page_views(_behavior(spark, sf_dir))
 
@@ -208,11 +221,16 @@ def late_side_output(spark, sf_dir):
 
 
 def late_side_output_text(spark, sf_dir):
-    """The late output as labelled text, next to the labelled results."""
+    """The late output as labelled text."""
     log = _arriving_log(spark, sf_dir)
     late = hot_urls.too_late(log, hot_urls.replay(log))
-    columns = ["ip", "user_id", "event_time", "method", "url"]
-    return labelled(record_text(late, columns), "sideOutPut")
+    return labelled(record_text(late, hot_urls.RECORD, hot_urls.RECORD_FIELDS), "sideOutPut")
+
+
+def hot_urls_labelled(spark, sf_dir):
+    """Both labelled outputs of the job: reports of every firing, and late records."""
+    log = _arriving_log(spark, sf_dir)
+    return hot_urls.labelled_outputs(log, hot_urls.replay(log))
 
 
 def hot_urls_revised(spark, sf_dir):
@@ -403,6 +421,7 @@ _QUERIES = [
     behavior_parse,
     access_log_parse,
     behavior_quarantine,
+    access_log_quarantine,
     behavior_filter_pv,
     access_log_filter_get,
     rowtime_projection,
@@ -424,6 +443,7 @@ _QUERIES = [
     late_revision,
     late_side_output,
     late_side_output_text,
+    hot_urls_labelled,
     hot_urls_revised,
     changelog_materialize,
     pv_retract_changelog,
@@ -528,19 +548,20 @@ c AS (
          CAST(2 * v - 2 AS INTEGER) FROM r QUALIFY v > 1)
 """
 
-_LATE = """, a AS (
+_LATE = """, a AS MATERIALIZED (
   SELECT *, max(ms) OVER (ORDER BY ms + ((event_id * 7919) % 1000) * 1200, event_id
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000 AS wm
   FROM l),
-x AS (
+x AS MATERIALIZED (
   SELECT a.*, (ms // 5000) * 5000 + 5000 * g.i AS window_end,
          coalesce(wm < window_end - 1, true) AS is_on_time,
          coalesce(wm < window_end - 1 + 60000, true) AS is_accepted
   FROM a, range(1, 121) g(i)),
-rv AS (
+rv AS MATERIALIZED (
   SELECT window_end, url, count(*) FILTER (is_on_time) AS first_count,
          count(*) FILTER (is_accepted) AS final_count
   FROM x WHERE method = 'GET' GROUP BY 1, 2 HAVING final_count > 0),
+ch AS (SELECT DISTINCT window_end FROM rv WHERE final_count > first_count),
 tl AS (
   SELECT * FROM a
   WHERE method = 'GET' AND (ms // 5000) * 5000 + 600000 - 1 + 60000 <= wm),
@@ -555,6 +576,13 @@ v2 AS (
 """
 
 _TIME = "strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S')"
+# The printed form of a late record and of a URL report.
+_LATE_TEXT = """'sideOutPut> ApacheLog(ip=' || ip || ', userId=' || user_id || ', eventTime='
+             || event_time || ', method=' || method || ', url=' || url || ')'"""
+_URL_REPORT = f"""'================' || chr(10) || {_TIME} || chr(10) ||
+             string_agg('No ' || rk || ':  UTL:' || url || '  浏览量:' || "count"
+                        || chr(10), '' ORDER BY rk)
+             || '===============' || chr(10) || chr(10)"""
 _ITEMS = _BASE + _ITEM_COUNTS
 _URLS = _BASE + _URL_COUNTS
 _LATENESS = _BASE + _LATE
@@ -594,6 +622,13 @@ def _batch_sql() -> dict[str, str]:
              concat_ws(',', user_id, item_id, category_id) ||
              CASE WHEN behavior = 'pv' THEN ',pv,' || "timestamp" ELSE '' END AS value
              FROM b""",
+        "access_log_quarantine": _BASE
+        + """SELECT CASE WHEN method = 'GET' THEN 'good' ELSE 'bad' END AS label,
+             CASE WHEN method = 'GET'
+                  THEN concat_ws(' ', ip, user_id, event_time, method, url)
+                  ELSE concat_ws(' ', ip, user_id, '-', strftime(make_timestamp(event_time * 1000),
+                                 '%d/%m/%Y:%H:%M:%S'), '+0000') END AS value
+             FROM l""",
         "behavior_filter_pv": _BASE
         + """SELECT user_id, item_id, category_id, behavior, "timestamp"
              FROM b WHERE behavior = 'pv'""",
@@ -629,12 +664,15 @@ def _batch_sql() -> dict[str, str]:
         "late_revision": _LATENESS + "SELECT * FROM rv",
         "late_side_output": _LATENESS + "SELECT event_id, url, ms AS event_ms FROM tl",
         "late_side_output_text": _LATENESS
-        + """SELECT 'sideOutPut> (' || concat_ws(',', ip, user_id, event_time, method, url)
-             || ')' AS value FROM tl""",
+        + f"SELECT {_LATE_TEXT} AS value FROM tl",
+        "hot_urls_labelled": _LATENESS
+        + f""", h AS (SELECT *, 1 AS version FROM v1 UNION ALL
+             SELECT *, 2 FROM v2 WHERE window_end IN (SELECT window_end FROM ch))
+             SELECT 'result> ' || {_URL_REPORT} AS value FROM h GROUP BY window_end, version
+             UNION ALL SELECT {_LATE_TEXT} FROM tl""",
         "hot_urls_revised": _LATENESS
         + """SELECT *, 1 AS version FROM v1 UNION ALL
-             SELECT *, 2 FROM v2 WHERE window_end IN
-             (SELECT window_end FROM rv WHERE final_count > first_count)""",
+             SELECT *, 2 FROM v2 WHERE window_end IN (SELECT window_end FROM ch)""",
         "changelog_materialize": _LATENESS + "SELECT * FROM v2",
         "pv_retract_changelog": _BASE + _PARTIALS + "SELECT * FROM c",
         "pv_retract_materialize": _TABLE_TOTALS,
@@ -644,10 +682,7 @@ def _batch_sql() -> dict[str, str]:
                         || chr(10), '' ORDER BY rk)
              || '===============' || chr(10) || chr(10) AS report FROM it GROUP BY 1""",
         "hot_urls_report": _URLS
-        + f"""SELECT window_end, '================' || chr(10) || {_TIME} || chr(10) ||
-             string_agg('No ' || rk || ':  UTL:' || url || '  浏览量:' || "count"
-                        || chr(10), '' ORDER BY rk)
-             || '===============' || chr(10) || chr(10) AS report FROM ut GROUP BY 1""",
+        + f"SELECT window_end, {_URL_REPORT} AS report FROM ut GROUP BY 1",
         "pv_report": _BASE
         + _TOTALS
         + f"""SELECT window_end, '==================' || chr(10) || {_TIME} || ':' || chr(10)

@@ -148,6 +148,16 @@ def test_positions_order_by_arrival_then_tie(spark):
     ]
 
 
+def test_the_gates_end_at_the_search(spark, plan):
+    df = frame(spark, [(0, 1, "a"), (9_000, 2, "b")])
+    gates = lateness.build_gates(df, LatenessRule())
+    lines = plan(lateness.class_steps(df, ["url"], gates)).splitlines()
+    search = next(i for i, line in enumerate(lines) if "Generate explode(array(_gates" in line)
+    assert not any("_gates" in line for line in lines[:search])
+    # Edges are summed per task before they are dealt out.
+    assert sum("Exchange" in line and "_chunk" in line for line in lines[:search]) == 2
+
+
 def test_gates_plan(spark, plan):
     """First positions are partial minima in hash tables, over no global order."""
     df = frame(spark, [(0, 1, "a")])

@@ -130,3 +130,21 @@ def test_row_times(spark):
     got = rowtime(access_log_time(log), "method", "url")
     assert got.columns == ["method", "url", "rt"]
     assert got.select(F.unix_millis("rt")).first()[0] == 7001
+
+
+@pytest.mark.parametrize(
+    "time, want",
+    [
+        ("01/01/2024:00:00:86400", "2024-01-02 00:00:00"),
+        ("01/01/2024:00:00:123456789", "2027-11-29 21:33:09"),
+        ("00000000001/1/2024:0:0:90", "2024-01-01 00:01:30"),
+        ("1/12345/2000:0:0:0", "3028-09-01 00:00:00"),
+        ("0/3/2024:25:61:0", "2024-03-01 02:01:00"),
+    ],
+)
+def test_long_time_parts_carry_over(spark, time, want):
+    line = f"ip u - {time} +0000 GET /a"
+    row = parsing.parse_access_log(spark.createDataFrame([(line,)], "value string")).select(
+        F.date_format(F.timestamp_millis("event_time"), "yyyy-MM-dd HH:mm:ss").alias("t")
+    ).first()
+    assert row.t == want

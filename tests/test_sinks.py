@@ -15,7 +15,7 @@ def target(tmp_path):
     path = str(tmp_path / "out.db")
     with sqlite3.connect(path) as db:
         db.execute(
-            "CREATE TABLE hoturl (endtime1 BIGINT NOT NULL, rk INT NOT NULL,"
+            "CREATE TABLE url_ranks (endtime1 BIGINT NOT NULL, rk INT NOT NULL,"
             " url2 VARCHAR(256) NOT NULL, counts2 BIGINT NOT NULL,"
             " PRIMARY KEY (endtime1, rk))"
         )
@@ -27,9 +27,9 @@ def target(tmp_path):
 
     def table():
         with sqlite3.connect(path) as db:
-            return db.execute("SELECT * FROM hoturl ORDER BY 1, 2").fetchall()
+            return db.execute("SELECT * FROM url_ranks ORDER BY 1, 2").fetchall()
 
-    return UpsertTarget("hoturl", connect, max_rows=3, writers=2), table
+    return UpsertTarget("url_ranks", connect, max_rows=3, writers=2), table
 
 
 def test_upsert_by_key_and_again(spark, target):
@@ -95,10 +95,10 @@ def test_reports(spark):
 
 def test_labelled_text(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 1)], "ip string, url string, n int")
-    text = labelled(record_text(df, ["ip", "url", "n"]), "sideOutPut")
-    write_text(text, str(tmp_path / "t"))
+    record = record_text(df, "Record", {"ip": "ip", "theUrl": "url", "n": "n"})
+    write_text(labelled(record, "sideOutPut"), str(tmp_path / "t"))
     assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == [
-        "sideOutPut> (a,null,1)"
+        "sideOutPut> Record(ip=a, theUrl=null, n=1)"
     ]
 
 
@@ -128,16 +128,19 @@ def test_table_form_stream_into_the_table(spark, tmp_path, target):
     assert table() == want and len(want) > 500
 
 
-def test_console(spark, tmp_path, capfd):
-    from tidemark.sinks.text import console, show
+def test_text_of_a_stream_is_whole(spark, tmp_path):
+    from tidemark.sinks.text import text_batches
     from tidemark.sources.lines import read_lines
+    from tidemark.streaming.run import start
 
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "a.txt").write_text("hello\n")
-    query = console(read_lines(spark, str(folder), streaming=True), str(tmp_path / "cp"))
-    query.awaitTermination()
-    # The stream prints from the JVM, which pytest does not redirect.
-    assert query.exception() is None and query.lastProgress.sink.numOutputRows == 1
-    show(read_lines(spark, str(folder)))
-    assert "hello" in capfd.readouterr().out
+    lines = [f"line {i}" for i in range(500)]
+    for i in range(2):
+        (folder / f"{i}.txt").write_text("\n".join(lines[i::2]) + "\n")
+    stream = read_lines(spark, str(folder), streaming=True, maxFilesPerTrigger=1)
+    handle = text_batches(str(tmp_path / "out"))
+    start(stream, handle, str(tmp_path / "cp")).awaitTermination()
+    handle(spark.read.text(str(folder / "1.txt")), 1)  # a batch delivered twice
+    got = spark.read.text(str(tmp_path / "out") + "/*").collect()
+    assert len(got) == 500

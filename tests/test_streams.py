@@ -239,6 +239,60 @@ def test_late_stream_fires_revises_and_sets_aside(spark, tmp_path):
     assert dict(current) == final
 
 
+def test_the_late_job_forgets(spark, tmp_path):
+    """Many micro-batches: what is kept stays as small as the time a window is open."""
+    rule = LatenessRule(size=20_000, slide=10_000, delay=1_000, lateness=10_000)
+    schema = "ip string, user_id string, event_time long, method string, url string"
+
+    def batch(i):
+        rows = [("ip", "u", MIDNIGHT + i * 5_000 + k * 100, "GET", f"/{k % 3}") for k in range(6)]
+        return access_log_time(spark.createDataFrame(rows, schema))
+
+    def partitions(log):
+        return {d for d in os.listdir(log.path) if d.startswith("batch_id=")}
+
+    out = str(tmp_path / "out")
+    job = hot_urls.late_job(spark, out, batch(0), size=rule.size, slide=rule.slide,
+                            delay=rule.delay, lateness=rule.lateness)
+    sizes = []
+    for i in range(50):
+        job(batch(i), i)
+        sizes.append((len(partitions(job.progress)), len(partitions(job.intervals))))
+    assert max(sizes[15:]) == min(sizes[15:]) and max(sizes) <= (5, 14)
+    ranked = rows(job.ranked.read().where("batch_id = 49"))
+    kept = partitions(job.intervals)
+    job(batch(49), 49)
+    assert rows(job.ranked.read().where("batch_id = 49")) == ranked and ranked
+    assert partitions(job.intervals) == kept
+    # Every closed window's final ranking counts all its records.
+    totals = {r.window_end: r.n for r in job.current().groupBy("window_end").agg(
+        F.sum("count").alias("n")).collect()}
+    whole = [n for end, n in totals.items() if MIDNIGHT + 20_000 <= end <= MIDNIGHT + 200_000]
+    assert whole and set(whole) == {24}
+
+
+STREAMS = {
+    "hot_items_stream": "hot_items_topn",
+    "hot_urls_stream": "hot_urls_topn",
+    "hot_urls_table_stream": "topn_rank_max",
+    "hot_urls_late_stream": "hot_urls_topn",
+    "pv_changes_stream": "pv_table_total",
+    "pv_report_stream": "pv_report",
+    "hot_items_report_stream": "hot_items_report",
+}
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_of_several_batches_equal_batch(spark, name):
+    import __spark_entry__ as entry
+
+    queries = entry.queries()
+    got = queries[name](spark, entry.SMOKE_DIR)
+    want = queries[STREAMS[name]](spark, entry.SMOKE_DIR)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert got.count() == want.count() > 0
+
+
 def test_a_batch_run_twice_leaves_the_same_result(spark, tmp_path):
     log = access_log_time(
         parse_access_log(

@@ -33,8 +33,11 @@ def _signed(bits: int) -> str:
 _LONG, _INT = _signed(64), _signed(32)
 _BEHAVIOR = f"^{_LONG},{_LONG},{_INT},[^,]*,{_LONG}(?:,|$)"
 
-_UP_TO_4 = "[0-9]{1,4}"
-_TIME = f"{_UP_TO_4}/{_UP_TO_4}/{_UP_TO_4}:{_UP_TO_4}:{_UP_TO_4}:{_UP_TO_4}(?![0-9])[^ ]*"
+# Parts of a time may be far past their range. So many digits keep the sum a LONG.
+_PART, _YEAR = "0*[0-9]{1,9}", "0*[0-9]{1,7}"
+_TIME = f"{_PART}/{_PART}/{_YEAR}:{_PART}:{_PART}:{_PART}(?![0-9])[^ ]*"
+# Days from 1 March of the year -400 to 1 January 1970.
+_EPOCH_DAYS = 865565
 _ACCESS_LOG = f"^[^ ]* [^ ]* [^ ]* {_TIME} [^ ]* [^ ]* (?=.*[^ ])"
 
 
@@ -97,11 +100,20 @@ def _civil_ms() -> Column:
     """
 
     def part(i: int) -> Column:
-        return F.get("_p", F.lit(i)).cast("int")
-
-    second = F.regexp_extract(F.get("_p", F.lit(5)), "^[0-9]+", 0).cast("int")
-    month = F.add_months(F.make_date(part(2), F.lit(1), F.lit(1)), part(1) - 1)
-    days = F.unix_date(month).cast("long") + part(0) - 1
+        return F.get("_p", F.lit(i)).cast("long")
+
+    def div(value: Column, by: int) -> Column:
+        """Floor division, which Spark's ``div`` is for values from 0 on."""
+        return F.call_function("div", value, F.lit(by).cast("long"))
+
+    second = F.regexp_extract(F.get("_p", F.lit(5)), "^[0-9]+", 0).cast("long")
+    # Years begin in March here, so that a leap day ends its year, and are counted from
+    # 400 years earlier, so that the number is positive.
+    months = (part(2) + 400) * 12 + part(1) - 3
+    year, month = div(months, 12), F.pmod(months, F.lit(12).cast("long"))
+    leap_days = div(year, 4) - div(year, 100) + div(year, 400)
+    first = year * 365 + leap_days + div(month * 153 + 2, 5)
+    days = first + part(0) - 1 - F.lit(_EPOCH_DAYS)
     return (((days * 24 + part(3)) * 60 + part(4)) * 60 + second) * 1000
 
 

@@ -18,7 +18,9 @@ VIEWS_LABEL = "  浏览量:"
 PV_LABEL = "PV次数:"
 
 
-def _block(ranked: DataFrame, key: str, label: str, opening: str, closing: str) -> DataFrame:
+def _block(
+    ranked: DataFrame, key: str, label: str, opening: str, closing: str, *more: str
+) -> DataFrame:
     # ``ranked`` holds at most N rows per window, so the list is bounded by N.
     entry: Column = F.concat(
         F.lit("No "),
@@ -30,8 +32,9 @@ def _block(ranked: DataFrame, key: str, label: str, opening: str, closing: str)
         F.lit("\n"),
     )
     lines = F.sort_array(F.collect_list(F.struct(F.col("rk"), entry.alias("line"))))
-    return ranked.groupBy("window_end").agg(lines.alias("lines")).select(
+    return ranked.groupBy("window_end", *more).agg(lines.alias("lines")).select(
         "window_end",
+        *more,
         F.concat(
             F.lit(opening + "\n"),
             ms_text(F.col("window_end")),
@@ -46,8 +49,9 @@ def item_report(ranked: DataFrame) -> DataFrame:
     return _block(ranked, "item_id", ITEM_LABEL, ITEM_RULER, ITEM_RULER)
 
 
-def url_report(ranked: DataFrame) -> DataFrame:
-    return _block(ranked, "url", URL_LABEL, URL_OPENING_RULER, URL_CLOSING_RULER)
+def url_report(ranked: DataFrame, *more: str) -> DataFrame:
+    """``more`` columns tell several rankings of a window apart."""
+    return _block(ranked, "url", URL_LABEL, URL_OPENING_RULER, URL_CLOSING_RULER, *more)
 
 
 def pv_report(totals: DataFrame) -> DataFrame:

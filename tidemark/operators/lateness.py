@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to, slot_end
 from ..workspace import cut_lineage, may_broadcast
-from .windows import interval_sums
+from .windows import interval_steps, window_ends
 
 _GATE_BYTES = 64  # one array element, a struct of a long and a decimal(38)
 
@@ -166,14 +166,11 @@ def _passed(df: DataFrame, gates: Gates) -> DataFrame:
         ahead = F.get("_gates", passed + step - 1)["first"] < F.col(gates.position)
         return passed + F.when(ahead, step).otherwise(F.lit(0))
 
-    count = F.reduce(steps, F.lit(0), descend)
-    last = F.when(F.col("_n") > 0, F.get("_gates", F.col("_n") - 1)["at"])
-    # Through a generator, so that filters above do not repeat the search.
-    return (
-        placed.select("*", F.explode(F.array(count)).alias("_n"))
-        .withColumn("_wm", last)
-        .select(*df.columns, "_start", "_stop", "_wm")
-    )
+    # Null where no gate was passed: ``get`` at -1.
+    last = F.get("_gates", F.reduce(steps, F.lit(0), descend) - 1)["at"]
+    # Through a generator, so that filters above do not repeat the search. The
+    # array of gates goes no further than this.
+    return placed.select(*df.columns, "_start", "_stop", F.explode(F.array(last)).alias("_wm"))
 
 
 def late_output(df: DataFrame, gates: Gates) -> DataFrame:
@@ -205,8 +202,19 @@ def classify(df: DataFrame, gates: Gates) -> DataFrame:
     )
 
 
+CLASSES = ["on_time", "accepted_late", "dropped"]
+
+
 def class_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
     """Rows per key, window end and class: on_time, accepted_late, dropped."""
+    steps = class_steps(df, keys, gates)
+    return window_ends(steps, keys, CLASSES, gates.rule.slide).select(
+        "window_end", *keys, *CLASSES
+    )
+
+
+def class_steps(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
+    """As :func:`class_counts`, one row per key and stretch ``[_at, _next)`` of window ends."""
     bounds = ["_start", "_accepted", "_on_time", "_stop"]
     alike = classify(df, gates).groupBy(*keys, *bounds).agg(F.count(F.lit(1)).alias("_n"))
     zero = F.lit(0).cast("long")
@@ -217,7 +225,7 @@ def class_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
             F.col(stop).alias("_stop"),
             *[
                 (F.col("_n") if name == measure else zero).alias(name)
-                for name in ("on_time", "accepted_late", "dropped")
+                for name in CLASSES
             ],
             F.col("_n").alias("_rows"),
         )
@@ -227,24 +235,21 @@ def class_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
         part("_accepted", "_on_time", "accepted_late"),
         part("_on_time", "_stop", "on_time"),
     )
-    measures = ["on_time", "accepted_late", "dropped", "_rows"]
     intervals = alike.select(*keys, F.inline(parts)).where("_start < _stop")
-    return interval_sums(
-        intervals, keys, measures, gates.rule.size, gates.rule.slide, present="_rows"
-    ).select("window_end", *keys, *measures[:3])
-
-
-def revised_windows(df: DataFrame, gates: Gates) -> DataFrame:
-    """Window ends that accept a row late, hence change after they closed."""
-    late = (
-        classify(df, gates)
-        .where("_accepted < _on_time")
-        .groupBy(F.col("_accepted").alias("_start"), F.col("_on_time").alias("_stop"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    return interval_sums(
-        late, [], ["_rows"], gates.rule.size, gates.rule.slide, present="_rows"
-    ).select("window_end")
+    # A slot has an interval for each of its watermark positions; their edges coincide.
+    return interval_steps(
+        intervals, keys, [*CLASSES, "_rows"], gates.rule.size, gates.rule.slide,
+        present="_rows", presum=True,
+    ).drop("_rows")
+
+
+def revised_windows(steps: DataFrame, rule: LatenessRule) -> DataFrame:
+    """Window ends that accept a row late, hence change after they closed.
+
+    ``steps`` as of :func:`class_steps`.
+    """
+    late = steps.where("accepted_late > 0")
+    return window_ends(late, [], [], rule.slide).distinct()
 
 
 def revised_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
@@ -253,8 +258,13 @@ def revised_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFram
     ``first_count`` holds the rows on time, ``final_count`` also those accepted
     late. Windows whose rows were all dropped do not appear.
     """
+    return revised(class_steps(df, keys, gates), keys, gates.rule)
+
+
+def revised(steps: DataFrame, keys: Sequence[str], rule: LatenessRule) -> DataFrame:
+    """As :func:`revised_counts`, from the stretches of :func:`class_steps`."""
     return (
-        class_counts(df, keys, gates)
+        window_ends(steps, keys, CLASSES, rule.slide)
         .select(
             "window_end",
             *keys,

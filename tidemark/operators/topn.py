@@ -11,13 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to
-from ..session import shuffle_partitions
 from ..workspace import cut_lineage, may_broadcast
-from .windows import as_intervals, interval_steps, interval_sums, sliding_count, slot_counts
+from .windows import as_intervals, interval_steps, sliding_count, slot_counts
 
 _FLOOR_BYTES = 64  # a broadcast row of two longs
-# Fewer window rows than this per partition are sorted faster than thinned out.
-FEW_WINDOW_ROWS = 1_000_000
 
 
 def top_n(
@@ -56,15 +53,10 @@ def sliding_top_n(
         return top_n(sliding_count(df, [key], size, slide, ts=ts), n, key)
     # Used up to three times below; written once, so that the input is read once.
     slots = cut_lineage(slot_counts(df, [key], slide, ts=ts))
-    first, last, rows = slots.agg(F.min("_start"), F.max("_start"), F.count(F.lit(1))).head()
+    first, last = slots.agg(F.min("_start"), F.max("_start")).head()
     intervals = as_intervals(slots, size)
-    few = FEW_WINDOW_ROWS * shuffle_partitions(df.sparkSession)
-    if rows * (size // slide) <= few:
-        counts = interval_sums(intervals, [key], ["_rows"], size, slide, present="_rows")
-        return top_n(counts.withColumnRenamed("_rows", "count"), n, key)
-
     floors = _floors(slots, n, key, slide, bucket)
-    if may_broadcast((last - first) // bucket + 2, _FLOOR_BYTES):
+    if first is None or may_broadcast((last - first) // bucket + 2, _FLOOR_BYTES):
         floors = F.broadcast(floors)
     step, width = F.lit(slide).cast("long"), F.lit(bucket).cast("long")
     steps = interval_steps(intervals, [key], ["_rows"], size, slide, present="_rows")

@@ -30,8 +30,9 @@ from ..functions.clock import floor_to, interval_text, slot_end
 from ..session import shuffle_partitions
 
 # A chunk spans this many window sizes: about 1/32 of the intervals cross into
-# the next chunk and are shuffled twice, and one key has at most
-# 2 * 33 * size / slide edges in a chunk.
+# the next chunk and are shuffled twice. Where intervals are unique per key and
+# slot, or ``presum`` is given, a key has at most 2 * 33 * size / slide edges in
+# a chunk.
 _CHUNK_SIZES = 32
 
 
@@ -119,6 +120,13 @@ def interval_sums(
     slide grid. A window end is reported where the sum of ``present`` is positive.
     """
     steps = interval_steps(intervals, keys, measures, size, slide, present=present)
+    return window_ends(steps, keys, measures, slide)
+
+
+def window_ends(
+    steps: DataFrame, keys: Sequence[str], measures: Sequence[str], slide: int
+) -> DataFrame:
+    """Stretches written out: one row per window end."""
     step = F.lit(slide).cast("long")
     return steps.select(
         *keys,
@@ -135,8 +143,13 @@ def interval_steps(
     slide: int,
     *,
     present: str,
+    presum: bool = False,
 ) -> DataFrame:
-    """As :func:`interval_sums`, one row per stretch ``[_at, _next)`` of equal sums."""
+    """As :func:`interval_sums`, one row per stretch ``[_at, _next)`` of equal sums.
+
+    ``presum`` adds up edges of one key and time before they are dealt out, for
+    intervals that share them.
+    """
     step = F.lit(slide).cast("long")
     chunk_ms = F.lit(size * _CHUNK_SIZES).cast("long")
     chunk_start = F.col("_chunk")
@@ -157,9 +170,6 @@ def interval_steps(
     )
     # A fixed partition number: adaptive coalescing would judge by the bytes
     # before the window ends are written out, short by a factor size / slide.
-    spread = chunked.repartition(
-        shuffle_partitions(intervals.sparkSession), *[F.col(k) for k in keys], F.col("_chunk")
-    )
     begins = F.struct(
         F.greatest(F.col("_start"), chunk_start).alias("_at"),
         *[F.col(m).alias(m) for m in measures],
@@ -168,9 +178,17 @@ def interval_steps(
         F.least(F.col("_stop"), chunk_stop).alias("_at"),
         *[(-F.col(m)).alias(m) for m in measures],
     )
-    edges = spread.select(
-        *keys, "_chunk", F.inline(F.array(begins, ends)).alias("_at", *measures)
-    )
+    both = F.inline(F.array(begins, ends)).alias("_at", *measures)
+    key_columns = [F.col(k) for k in keys]
+    n = shuffle_partitions(intervals.sparkSession)
+    if presum:
+        summed = chunked.select(*keys, "_chunk", both).groupBy(*keys, "_chunk", "_at").agg(
+            *[F.sum(m).alias(m) for m in measures]
+        )
+        edges = summed.repartition(n, *key_columns, F.col("_chunk"))
+    else:
+        spread = chunked.repartition(n, *key_columns, F.col("_chunk"))
+        edges = spread.select(*keys, "_chunk", both)
 
     by_time = Window.partitionBy(*keys, "_chunk").orderBy("_at")
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)

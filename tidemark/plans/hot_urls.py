@@ -20,20 +20,33 @@ from ..operators.lateness import (
     Gates,
     LatenessRule,
     build_gates,
+    class_steps,
     late_output,
+    revised,
     revised_counts,
     revised_windows,
 )
 from ..operators.topn import as_table_rows, max_per_rank, sliding_top_n, top_n
 from ..operators.windows import sliding_count
+from ..sinks.text import labelled, record_text
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
 from ..streaming.counts import stream_count
 from ..streaming.late_top_n import LateTopN
 from ..streaming.run import BatchHandler, into_log, start
+from ..workspace import write_table
 
 SIZE, SLIDE, TOP = minutes(10), seconds(5), 5
 DELAY, LATENESS = seconds(1), seconds(60)
+# Name and fields of a printed access-log record, and their columns.
+RECORD = "ApacheLog"
+RECORD_FIELDS = {
+    "ip": "ip",
+    "userId": "user_id",
+    "eventTime": "event_time",
+    "method": "method",
+    "url": "url",
+}
 RANKED = StructType(
     [
         StructField("window_end", LongType()),
@@ -76,9 +89,13 @@ def revisions(log: DataFrame, gates: Gates) -> DataFrame:
 
 def ranking_history(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
     """Each window's ranking when it closes (version 1) and, if late rows have
-    come in since, when it is final (version 2)."""
-    requests = get_requests(log)
-    counts = revised_counts(requests, ["url"], gates)
+    come in since, when it is final (version 2).
+
+    Counts are kept as stretches of equal counts in one table, from which both
+    rankings and the revised windows are read.
+    """
+    steps, _ = write_table(class_steps(get_requests(log), ["url"], gates), "stretches")
+    counts = revised(steps, ["url"], gates.rule)
     first = counts.where("first_count > 0").select(
         "window_end", "url", F.col("first_count").alias("count")
     )
@@ -88,12 +105,21 @@ def ranking_history(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
         .withColumn("version", F.lit(1))
         .unionByName(
             top_n(final, n, "url")
-            .join(revised_windows(requests, gates), "window_end", "left_semi")
+            .join(revised_windows(steps, gates.rule), "window_end", "left_semi")
             .withColumn("version", F.lit(2))
         )
     )
 
 
+def labelled_outputs(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
+    """The two outputs of the job as it prints them: reports of every firing, and rows
+    that came too late."""
+    history = ranking_history(log, gates, n)
+    return labelled(url_report(history, "version"), "result").unionByName(
+        labelled(record_text(too_late(log, gates), RECORD, RECORD_FIELDS), "sideOutPut")
+    )
+
+
 def current_ranking(history: DataFrame) -> DataFrame:
     return latest(history, ["window_end", "rk"], "version")
 

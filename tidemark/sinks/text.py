@@ -11,11 +11,14 @@ def labelled(df: DataFrame, label: str, text: str = "report") -> DataFrame:
     return df.select(F.concat(F.lit(label + "> "), F.col(text)).alias("value"))
 
 
-def record_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows as ``(a,b,c)`` text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+def record_text(df: DataFrame, name: str, fields: dict[str, str]) -> DataFrame:
+    """Rows as ``Name(field=value, ...)``; ``fields`` maps printed names to columns."""
+    parts = [
+        F.concat(F.lit(f"{field}="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
+        for field, c in fields.items()
+    ]
     return df.select(
-        F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")).alias("report")
+        F.concat(F.lit(f"{name}("), F.concat_ws(", ", *parts), F.lit(")")).alias("report")
     )
 
 
@@ -24,18 +27,14 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select("value").write.mode(mode).text(path)
 
 
-def show(df: DataFrame, rows: int = 20) -> None:
-    """Print the first rows; whole outputs go to files."""
-    df.show(rows, truncate=False)
+def text_batches(path: str, transform=None):
+    """Handler for ``foreachBatch``: every micro-batch's ``value`` as text files.
 
+    A batch's folder is overwritten when the batch runs again. Nothing is left out.
+    """
 
-def console(stream: DataFrame, checkpoint: str, interval: str | None = None):
-    """Print a stream's micro-batches."""
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        stream.writeStream.format("console")
-        .option("truncate", False)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch if transform is None else transform(batch)
+        write_text(rows, f"{path}/batch_id={batch_id}")
+
+    return handle

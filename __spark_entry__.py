@@ -56,16 +56,19 @@ def _requests(spark, sf_dir, *extra):
     return ev.as_access_log(ev.of_types(ev.read_events(spark, sf_dir), ev.GET_TYPES), *extra)
 
 
+def _arrival(step):
+    """When an event arrives, in milliseconds: up to 999 steps of ``step`` late."""
+    return F.unix_millis("ts") + F.pmod(F.col("event_id") * 7919, F.lit(1000)) * step
+
+
 def _arriving_log(spark, sf_dir):
     """The access log with millisecond event time and a disordered arrival."""
-    event_ms = F.unix_millis("ts")
-    arrival = event_ms + F.pmod(F.col("event_id") * 7919, F.lit(1000)) * 1200
     return _log(
         spark,
         sf_dir,
         "event_id",
-        event_ms.alias("event_ms"),
-        lateness.arrival_position(arrival, F.col("event_id")).alias("position"),
+        F.unix_millis("ts").alias("event_ms"),
+        lateness.arrival_position(_arrival(1200), F.col("event_id")).alias("position"),
     )
 
 
@@ -278,18 +281,15 @@ def pv_report(spark, sf_dir):
 #: Each stream query takes its input in several micro-batches: files, at least so
 #: many, of at most so many rows.
 STREAM_FILES, STREAM_FILE_ROWS = 4, 5_000_000
+#: The same where events arrive in disorder, up to some hours late.
+ARRIVAL_FILES, ARRIVAL_STEP = 8, 12_000
 
 
-def _in_files(spark, sf_dir):
-    """``events`` as a stream that takes one file per micro-batch, in order of time.
+def _as_stream(spark, ranges, n):
+    """Rows with ``part`` in 0 to ``n`` - 1 as a stream of one part per micro-batch.
 
     A stream takes files by their age, so they are written one after the other.
     """
-    events = ev.read_events(spark, sf_dir).withColumn("ts", F.to_timestamp_ntz("ts"))
-    n = max(STREAM_FILES, -(-events.count() // STREAM_FILE_ROWS))
-    ranges, _ = write_table(
-        events.repartitionByRange(n, "ts").withColumn("part", F.spark_partition_id()), "ranges"
-    )
     folder = new_folder(spark, "arrived")
     for number in range(n):
         part = ranges.where(F.col("part") == number).drop("part")
@@ -297,6 +297,34 @@ def _in_files(spark, sf_dir):
     return ev.read_events(spark, folder, streaming=True, maxFilesPerTrigger=1)
 
 
+def _in_files(spark, sf_dir):
+    """``events`` as a stream in several micro-batches, in order of time."""
+    events = ev.read_events(spark, sf_dir).withColumn("ts", F.to_timestamp_ntz("ts"))
+    n = max(STREAM_FILES, -(-events.count() // STREAM_FILE_ROWS))
+    ranges, _ = write_table(
+        events.repartitionByRange(n, "ts").withColumn("part", F.spark_partition_id()), "ranges"
+    )
+    return _as_stream(spark, ranges, n)
+
+
+def _as_they_arrive(spark, sf_dir):
+    """``events`` as a stream in order of arrival, a micro-batch per stretch of time."""
+    events = ev.read_events(spark, sf_dir).withColumn("arrival", _arrival(ARRIVAL_STEP))
+    low, high, rows = events.agg(F.min("arrival"), F.max("arrival"), F.count("*")).first()
+    n = max(ARRIVAL_FILES, -(-rows // STREAM_FILE_ROWS))
+    part = F.lit(0)
+    if rows:
+        part = F.expr(f"(arrival - {low}L) * {n}L div {high - low + 1}L").cast("int")
+    ranges, _ = write_table(
+        events.withColumn("part", part)
+        .drop("arrival")
+        .withColumn("ts", F.to_timestamp_ntz("ts"))
+        .repartitionByRange(n, "part", "event_id"),
+        "ranges",
+    )
+    return _as_stream(spark, ranges, n)
+
+
 def _bounded(spark, sf_dir, kind, convert):
     """``events`` as a stream of records with ``ts``, and a closing row."""
     records = convert(_in_files(spark, sf_dir), "ts")
@@ -376,6 +404,27 @@ def hot_urls_late_stream(spark, sf_dir):
     return job.current()
 
 
+def _late_job_as_they_arrive(spark, sf_dir):
+    """The job with allowed lateness, run over events in disorder to their end."""
+    records = ev.as_access_log(_as_they_arrive(spark, sf_dir), "event_id", "ts")
+    bounded = BoundedInput(records, new_folder(spark, "end-of-input"), "method", "ts")
+    folder = new_folder(spark, "stream")
+    job = hot_urls.late_job(spark, folder, bounded.rows)
+    bounded.run(lambda: hot_urls.start_hot_urls_late(bounded.rows, job, f"{folder}/checkpoint"))
+    return job
+
+
+def hot_urls_firings_stream(spark, sf_dir):
+    """Each window's rankings as they fire: when it closes, and after late rows."""
+    return _late_job_as_they_arrive(spark, sf_dir).firings()
+
+
+def hot_urls_late_output_stream(spark, sf_dir):
+    """Rows that come too late for all their windows."""
+    late = _late_job_as_they_arrive(spark, sf_dir).late.rows()
+    return late.select("event_id", "url", F.unix_millis("ts").alias("event_ms"))
+
+
 def pv_stream(spark, sf_dir):
     bounded, records = _behavior_stream(spark, sf_dir)
     return _run(
@@ -457,6 +506,8 @@ _QUERIES = [
     hot_urls_stream,
     hot_urls_table_stream,
     hot_urls_late_stream,
+    hot_urls_firings_stream,
+    hot_urls_late_output_stream,
     pv_stream,
     pv_changes_stream,
 ]
@@ -575,6 +626,39 @@ v2 AS (
   FROM rv QUALIFY rk <= 5)
 """
 
+# One watermark per micro-batch; ``fr`` has the micro-batches that rank a window: the
+# one that closes it (the closing row comes last), and later ones with rows for it.
+_BATCHES = f""", ar AS (
+  SELECT *, ms + ((event_id * 7919) % 1000) * {ARRIVAL_STEP} AS arrival FROM l),
+sp AS (
+  SELECT min(arrival) AS low, max(arrival) AS high,
+         greatest({ARRIVAL_FILES}, (count(*) + {STREAM_FILE_ROWS - 1}) // {STREAM_FILE_ROWS}) AS n
+  FROM ar),
+ba AS MATERIALIZED (
+  SELECT ar.*, ((arrival - low) * n) // (high - low + 1) AS batch FROM ar, sp),
+hi AS (SELECT batch, max(max(ms)) OVER (ORDER BY batch) AS high FROM ba GROUP BY batch),
+wa AS MATERIALIZED (SELECT batch, high, lag(high) OVER (ORDER BY batch) - 1000 AS wm FROM hi),
+bc AS MATERIALIZED (
+  SELECT batch, url, (ms // 5000) * 5000 + 5000 * g.i AS window_end, count(*) AS n
+  FROM ba JOIN wa USING (batch), range(1, 121) g(i)
+  WHERE method = 'GET' AND coalesce(window_end - 1 + 60000 > wm, true) GROUP BY ALL),
+cb AS (
+  SELECT w.window_end, coalesce(min(wa.batch), (SELECT n FROM sp)) AS closing
+  FROM (SELECT DISTINCT window_end FROM bc) w
+  LEFT JOIN wa ON wa.high - 1000 >= w.window_end - 1 GROUP BY 1),
+fr AS MATERIALIZED (
+  SELECT window_end, closing AS fired FROM cb
+  UNION
+  SELECT window_end, batch FROM bc JOIN cb USING (window_end) WHERE batch > closing),
+rf AS (
+  SELECT window_end, fired,
+         CAST(row_number() OVER (PARTITION BY window_end, fired ORDER BY "count" DESC, url)
+              AS INTEGER) AS rk, url, "count"
+  FROM (SELECT window_end, fired, url, CAST(sum(n) AS BIGINT) AS "count"
+        FROM fr JOIN bc USING (window_end) WHERE batch <= fired GROUP BY 1, 2, 3)
+  QUALIFY rk <= 5)
+"""
+
 _TIME = "strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S')"
 # The printed form of a late record and of a URL report.
 _LATE_TEXT = """'sideOutPut> ApacheLog(ip=' || ip || ', userId=' || user_id || ', eventTime='
@@ -586,6 +670,7 @@ _URL_REPORT = f"""'================' || chr(10) || {_TIME} || chr(10) ||
 _ITEMS = _BASE + _ITEM_COUNTS
 _URLS = _BASE + _URL_COUNTS
 _LATENESS = _BASE + _LATE
+_ARRIVING = _BASE + _BATCHES
 _TABLE_ROWS = _URLS + (
     'SELECT window_end AS endtime1, rk, url AS url2, "count" AS counts2 FROM ut'
 )
@@ -691,6 +776,12 @@ def _batch_sql() -> dict[str, str]:
         "hot_urls_stream": _TOP_URLS,
         "hot_urls_table_stream": _TABLE_ROWS,
         "hot_urls_late_stream": _TOP_URLS,
+        "hot_urls_firings_stream": _ARRIVING
+        + """SELECT window_end, CAST(dense_rank() OVER (PARTITION BY window_end ORDER BY fired)
+                                 AS INTEGER) AS version, rk, url, "count" FROM rf""",
+        "hot_urls_late_output_stream": _ARRIVING
+        + """SELECT event_id, url, ms AS event_ms FROM ba JOIN wa USING (batch)
+             WHERE method = 'GET' AND (ms // 5000) * 5000 + 600000 - 1 + 60000 <= wm""",
         "pv_stream": _PLAIN,
         "pv_changes_stream": _TABLE_TOTALS,
     }

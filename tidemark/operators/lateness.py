@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to, slot_end
-from ..workspace import cut_lineage, may_broadcast
+from ..workspace import may_broadcast, write_table
 from .windows import interval_steps, window_ends
 
 _GATE_BYTES = 64  # one array element, a struct of a long and a decimal(38)
@@ -102,10 +102,11 @@ def build_gates(
     end = slot_end(F.col(event_ms), rule.slide)
     # The highest grid point this row itself pushes the watermark past.
     reach = floor_to(F.col(event_ms) + F.lit(1 - rule.delay), unit)
-    slots = cut_lineage(
+    slots, _ = write_table(
         df.groupBy(reach.alias("_g"), floor_to(end, block).alias("_block")).agg(
             F.min(position).alias("_first")
-        )
+        ),
+        "slots",
     )
     own = floor_to(F.col("_g"), block)
     none = F.lit(None).cast("decimal(38,0)")
@@ -131,7 +132,7 @@ def build_gates(
         F.explode(F.array(own - F.lit(block), own)).alias("_block"), "_g", "_first"
     )
     from_here = Window.partitionBy("_block").orderBy(F.desc("_g"))
-    table = cut_lineage(
+    table, _ = write_table(
         near.unionByName(beyond)
         .groupBy("_block", "_g")
         .agg(F.min("_first").alias("_first"))
@@ -142,7 +143,8 @@ def build_gates(
             F.sort_array(
                 F.collect_list(F.struct(F.col("_g").alias("at"), F.col("_first").alias("first")))
             ).alias("_gates")
-        )
+        ),
+        "gates",
     )
     gates = table.agg(F.sum(F.size("_gates"))).head()[0] or 0
     return Gates(table, rule, event_ms, position, may_broadcast(gates, _GATE_BYTES))

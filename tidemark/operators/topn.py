@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to
-from ..workspace import cut_lineage, may_broadcast
+from ..workspace import may_broadcast, write_table
 from .windows import as_intervals, interval_steps, sliding_count, slot_counts
 
 _FLOOR_BYTES = 64  # a broadcast row of two longs
@@ -52,7 +52,7 @@ def sliding_top_n(
     if size % slide or not bucket:
         return top_n(sliding_count(df, [key], size, slide, ts=ts), n, key)
     # Used up to three times below; written once, so that the input is read once.
-    slots = cut_lineage(slot_counts(df, [key], slide, ts=ts))
+    slots, _ = write_table(slot_counts(df, [key], slide, ts=ts), "slots")
     first, last = slots.agg(F.min("_start"), F.max("_start")).head()
     intervals = as_intervals(slots, size)
     floors = _floors(slots, n, key, slide, bucket)

@@ -25,7 +25,7 @@ again after a failure finds what it found the first time and gives the same rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -205,6 +205,13 @@ class LateTopN:
             counts = fresh.unionByName(again)
         return top_n(counts, self.n, self.key)
 
+    def firings(self) -> DataFrame:
+        """Every ranking of every window, numbered by ``version`` as they fired."""
+        fired = Window.partitionBy("window_end").orderBy("batch_id")
+        return self.ranked.read().select(
+            "window_end", F.dense_rank().over(fired).alias("version"), "rk", self.key, "count"
+        )
+
     def current(self) -> DataFrame:
         """Every window's ranking as last written."""
         return latest(self.ranked.read(), ["window_end", "rk"], "batch_id").select(

@@ -48,14 +48,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
-
-
 # Side tables up to this size are broadcast. Larger ones are joined by shuffle,
 # where adaptive execution splits a key that holds too many rows.
 BROADCAST_BYTES = 128 * 1024 * 1024

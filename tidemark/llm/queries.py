@@ -14,6 +14,7 @@ from tidemark.llm import (
     licenses,
     mixing,
     packing,
+    prefix_trie,
     quality,
     simhash,
     suffix_dedup,
@@ -113,6 +114,15 @@ def op11_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    own = prefix_trie.paths(conversations, "conv_id", "turn", "role", "text")
+    conv_id = F.col("conv_id")
+    head = F.crc32(conv_id.cast("string").cast("binary")) % 6
+    rebuilt = prefix_trie.rebuilt(own, conv_id - conv_id % 100, head.cast("int"), 5)
+    return prefix_trie.nodes(rebuilt)
+
+
 def op13_middle_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fim.transformed(_table(spark, sf_dir, "documents"), "doc_id", "text")
     return done.select(
@@ -140,6 +150,7 @@ QUERIES = {
         op9_language_centroids,
         op10_packed_bins,
         op11_chat_round_trip,
+        op12_prefix_nodes,
         op13_middle_filled,
     )
 }
@@ -218,6 +229,47 @@ c AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
        sha256(learned) AS loss_sha256, formatted_chars
 FROM c""",
+    # The crc32 by a table of 256 entries; nodes by their whole prefix as text.
+    "op12_prefix_nodes": r"""
+WITH RECURSIVE k AS (
+  SELECT i, CAST(i AS BIGINT) AS v, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM k WHERE step < 8),
+t AS (SELECT list(v ORDER BY i) AS crc FROM k WHERE step = 8),
+r AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS step
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, list({'step': step, 'chars': chars} ORDER BY turn NULLS FIRST, step) AS turns
+  FROM r GROUP BY 1),
+h AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT),
+             list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda a, b: xor(a >> 8, crc[CAST(xor(a, b) & 255 AS INT) + 1]))) % 6 AS head
+  FROM o, t),
+b AS (
+  SELECT h.conv_id, list_concat(coalesce(f.turns[1:h.head], []), h.turns[h.head + 1:]) AS turns
+  FROM h LEFT JOIN o f ON f.conv_id = h.conv_id - h.conv_id % 100),
+p AS (
+  SELECT conv_id, len(turns) AS size, d AS depth, CASE WHEN d > 0 THEN turns[d].chars ELSE 0 END AS chars,
+         list_transform(range(0, d + 1), lambda x: array_to_string(list_transform(turns[1:x], lambda t: t.step), '')) AS heads
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM b)),
+n AS MATERIALIZED (
+  SELECT heads[-1] AS node, any_value(heads) AS heads, any_value(heads[-2]) AS parent, any_value(depth) AS depth,
+         min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends
+  FROM p GROUP BY 1),
+c AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+s AS (
+  SELECT above AS node, count(*) FILTER (n_children IS NULL) AS n_leaves,
+         sum((n_convs - 1) * chars) AS saved_tokens
+  FROM (SELECT unnest(heads) AS above, n.n_convs, n.chars, c.n_children FROM n LEFT JOIN c USING (node))
+  GROUP BY 1)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN c USING (node) LEFT JOIN n u ON n.depth > 0 AND u.node = n.parent""",
     "op13_middle_filled": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,

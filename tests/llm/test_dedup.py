@@ -188,10 +188,9 @@ def _plain_removal(texts, length):
     return out
 
 
-@pytest.mark.parametrize("crowd", [1, 3000])
-def test_suffix_removal_as_brute_force(spark, crowd):
+@pytest.mark.parametrize("crowd, length", [(1, 80), (3000, 80), (3000, 160)])
+def test_suffix_removal_as_brute_force(spark, crowd, length):
     rng = random.Random(8)
-    length = 80
 
     def prose(n):
         return "".join(rng.choices("abcdefé \n", k=n))
@@ -236,6 +235,42 @@ def test_shards_do_not_change_what_is_found(monkeypatch):
     assert (one == many).all() and one.any() and not one.all()
 
 
+def test_letters_that_hash_alike_are_told_apart_by_bytes(monkeypatch):
+    rng = random.Random(4)
+    base = bytes(rng.choices(b"abc", k=900))
+    snippets = [base[a : a + 450] for a in rng.sample(range(400), 12)] + [bytes(rng.choices(b"abc", k=450))]
+    windows, weights = np.full(13, 51), np.ones(13, dtype=int)
+    right, _ = suffix_dedup.repeated_starts(snippets, windows, weights, 400)
+    monkeypatch.setattr(suffix_dedup, "_CODES", np.ones(256, dtype=np.uint64))
+    got, _ = suffix_dedup.repeated_starts(snippets, windows, weights, 400)
+    assert (got == right).all() and right.any() and not right.all()
+
+
+def test_suffix_removal_while_the_input_is_dealt_otherwise(spark, tmp_path, monkeypatch):
+    """Each table written meets an input that is read in other partitions than before."""
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh ", k=500))
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.randrange(50, 900))) for _ in range(160)]
+    texts = [t + passage if i % 9 == 0 else t for i, t in enumerate(texts)]
+    rows = [(i, t, "k", "r") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).repartition(12).write.parquet(f"{tmp_path}/in")
+    written, costs = suffix_dedup.write_table, itertools.cycle((1 << 30, 1, 3000))
+
+    def and_deal_anew(*args):
+        done = written(*args)
+        spark.conf.set("spark.sql.files.openCostInBytes", next(costs))
+        return done
+
+    monkeypatch.setattr(suffix_dedup, "write_table", and_deal_anew)
+    try:
+        found = suffix_dedup.without_repeats(
+            spark.read.parquet(f"{tmp_path}/in"), "doc_id", "text", 240
+        ).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r)[1:] for r in sorted(found)] == _plain_removal(texts, 240)
+
+
 # -- embeddings ----------------------------------------------------------------------
 
 

@@ -5,24 +5,27 @@ Every byte covered by a ``length``-byte string that starts anywhere else too is
 *Anchors.* Each window of ``length`` bytes has an anchor: the ``GRAM``-byte gram with the
 least hash in it. Equal windows have equal anchors, so windows are only ever compared
 with those of the same anchor gram. Windows with one anchor are a run of starts; a run's
-bytes are a snippet. Grams that occur once leave nothing to compare; where all snippets
-of a gram are alike they repeat as a whole, and copies of a snippet are counted before
-they are shuffled. What is left are distinct snippets that share a gram.
+bytes are a snippet. Grams that occur once leave nothing to compare. Copies of a snippet,
+by gram and a digest of 128 bits, are counted before anything is shuffled. What is left
+are distinct snippets that share a gram, each with a weight.
 
 *Merged transforms.* A task takes whole grams' snippets, some megabytes at a time, in
-shards. A snippet is read as 16 interleaved sequences of 16-byte letters, one for each
+shards. A snippet is read as interleaved sequences of ``LETTER``-byte letters, one for each
 phase, so that every byte position starts a suffix of letters. Each shard's suffixes are
 sorted once and give its transform. The shards' transforms are then merged by refining
 their interleave: after round *i* the suffixes of all shards stand in the order of their
 first *i* letters, and a boundary that appears in round *i* between two neighbours says
-that they share *i* - 1 letters. After ``length / 16`` rounds neighbours without a boundary
-are equal windows: a repeated interval. No suffix is sorted again.
+that they share *i* - 1 letters. After ``length / LETTER`` rounds neighbours without a
+boundary are equal windows: a repeated interval. No suffix is sorted again. Letters are
+named by hashes, so the windows of an interval are compared byte by byte at last.
 
 A gram with more distinct snippets than ``crowd`` is not gathered in one task: its
 windows are counted by digest instead, spread over all tasks.
 
 Texts meet their snippets and spans by shuffled joins at every size: both sides grow with
-the corpus.
+the corpus. Rows are numbered once, in a table that every later step reads: a number given
+anew at each reading would follow the reading's partitions. Snippets are checked against
+their digest when they are cut.
 
 Defined cases. A null text is empty. Texts shorter than ``length`` lose nothing. Rows
 that are repeated, or share an id, are texts of their own, so a repeated row with a text
@@ -47,7 +50,7 @@ from tidemark.workspace import write_table
 
 LENGTH = 400
 GRAM = 64
-LETTER = 16
+LETTER = 80
 #: Distinct snippets of one gram that a task takes at once.
 CROWD = 3000
 #: Positions merged at once, and those of a shard, about.
@@ -55,31 +58,35 @@ BATCH_POSITIONS, SHARD_POSITIONS = 1 << 20, 1 << 19
 
 _SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_CODES = np.random.default_rng(3).integers(0, 1 << 63, 256).astype(np.uint64)
 _POSITION = np.uint64((1 << 24) - 1)
 
 
+def _mixed(found: np.ndarray) -> np.ndarray:
+    found ^= found >> np.uint64(31)
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    found ^= found >> np.uint64(29)
+    found *= np.uint64(0x94D049BB133111EB)
+    return found ^ (found >> np.uint64(32))
+
+
 class _Rolling:
     """Hashes of all grams of a text, from prefix sums modulo 2^64."""
 
     def __init__(self) -> None:
         n = _SLICE + 2 * LENGTH + 1
-        self._codes = np.random.default_rng(3).integers(0, 1 << 63, 256).astype(np.uint64)
         self._up = np.ones(n, dtype=np.uint64)
         self._down = np.ones(n, dtype=np.uint64)
         self._up[1:] = np.uint64(_BASE)
-        self._down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
+        self._down[1:] = np.uint64(_BASE_INVERSE)
         np.multiply.accumulate(self._up, out=self._up)
         np.multiply.accumulate(self._down, out=self._down)
 
     def grams(self, data: np.ndarray, n: int) -> np.ndarray:
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self._codes[data] * self._up[: len(data)], out=sums[1:])
-        found = (sums[n:] - sums[:-n]) * self._down[: len(data) - n + 1]
-        found ^= found >> np.uint64(31)
-        found *= np.uint64(0xBF58476D1CE4E5B9)
-        found ^= found >> np.uint64(29)
-        found *= np.uint64(0x94D049BB133111EB)
-        return found ^ (found >> np.uint64(32))
+        np.cumsum(_CODES[data] * self._up[: len(data)], out=sums[1:])
+        return _mixed((sums[n:] - sums[:-n]) * self._down[: len(data) - n + 1])
 
 
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -109,32 +116,35 @@ def _slices(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
         yield at, text[at : at + _SLICE + length - 1]
 
 
+_digest = xxhash.xxh3_128_digest
+
+
 def _snippets(length: int):
-    """One row per run of a text: ``uid, gram, digest, first, last``."""
+    """One row per run of a text: ``uid, gram, d1, d2, first, last``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = _Rolling()
         for batch in batches:
             uids, texts = batch.column("uid").to_pylist(), batch.column("text").cast(pa.binary())
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for uid, value in zip(uids, texts):
                 text = value.as_py()
                 if len(text) < length:
                     continue
                 for at, part in _slices(text, length):
                     first, last, gram = _runs(np.frombuffer(part, dtype=np.uint8), rolling, length)
-                    digest = [
-                        xxhash.xxh3_64_intdigest(part[a : b + length])
-                        for a, b in zip(first.tolist(), last.tolist())
-                    ]
-                    found = (np.full(len(first), uid), gram.view(np.int64),
-                             np.array(digest, dtype=np.uint64).view(np.int64), first + at, last + at)
+                    digest = b"".join(
+                        _digest(part[a : b + length]) for a, b in zip(first.tolist(), last.tolist())
+                    )
+                    halves = np.frombuffer(digest, dtype=">i8").astype(np.int64).reshape(-1, 2)
+                    found = (np.full(len(first), uid), gram.view(np.int64), halves[:, 0], halves[:, 1],
+                             first + at, last + at)
                     for column, values in zip(out, found):
                         column.append(values)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in out],
-                    names=["uid", "gram", "digest", "first", "last"],
+                    names=["uid", "gram", "d1", "d2", "first", "last"],
                 )
 
     return find
@@ -144,26 +154,19 @@ def _snippets(length: int):
 
 
 def _letters(data: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """A dense name for the 16 bytes at each position, fewer at a snippet's end.
+    """A dense name for the ``LETTER`` bytes at each position, fewer at a snippet's end.
 
     ``left`` holds the bytes left in the position's snippet. Names are those of a 64-bit
-    mix of the bytes and their number, in the order of the mixes.
+    hash of the bytes and their number, in the order of the hashes.
     """
-    padded = np.concatenate([data, np.zeros(LETTER, dtype=np.uint8)]).astype(np.uint64)
-    n = len(data)
-    words = []
-    for half in (0, 8):
-        word = np.zeros(n, dtype=np.uint64)
-        for i in range(half, half + 8):
-            byte = np.where(left > i, padded[i : n + i], np.uint64(0))
-            word = (word << np.uint64(8)) | byte
-        words.append(word)
-    mixed = words[0] * np.uint64(0x9FB21C651E98DF25)
-    mixed ^= mixed >> np.uint64(32)
-    mixed = (mixed ^ words[1]) * np.uint64(_BASE)
-    mixed ^= mixed >> np.uint64(29)
-    mixed = (mixed ^ np.minimum(left, LETTER).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(32)
+    n, width = len(data), np.minimum(left, LETTER)
+    up, down = (np.full(n + 1, b, dtype=np.uint64) for b in (_BASE, _BASE_INVERSE))
+    up[0] = down[0] = 1
+    np.multiply.accumulate(up, out=up)
+    np.multiply.accumulate(down, out=down)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_CODES[data] * up[:n], out=sums[1:])
+    mixed = _mixed((sums[np.arange(n) + width] - sums[:n]) * down[:n] + width.astype(np.uint64))
     order = np.argsort(mixed)
     ranked = mixed[order]
     names = np.empty(n, dtype=np.int64)
@@ -231,7 +234,8 @@ def repeated_starts(snippets: list[bytes], windows: np.ndarray, weights: np.ndar
     """
     sizes = np.array([len(s) for s in snippets], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    data = np.frombuffer(b"".join(snippets), dtype=np.uint8)
+    whole = b"".join(snippets)
+    data = np.frombuffer(whole, dtype=np.uint8)
     left = np.repeat(starts[1:], sizes) - np.arange(len(data))
     names = _letters(data, left)
     cuts = [0]
@@ -252,10 +256,42 @@ def repeated_starts(snippets: list[bytes], windows: np.ndarray, weights: np.ndar
     starts_window = inside < np.repeat(windows, sizes)
     weight = np.where(starts_window, np.repeat(weights, sizes), 0)
     known = place >= 0
-    total = np.bincount(block[known], weights=weight[place[known]], minlength=block[-1] + 1)
+    known[known] = starts_window[place[known]]
+    at, block = place[known], block[known]
     again = np.zeros(len(data), dtype=bool)
-    again[place[known]] = total[block[known]] >= 2
-    return again & starts_window, starts
+    if len(at):
+        begins = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        members = np.diff(np.append(begins, len(at)))
+        total = np.repeat(np.add.reduceat(weight[at], begins), members)
+        first = np.repeat(np.minimum.reduceat(at, begins), members)
+        again[at] = total >= 2
+        for number in np.unique(block[_differing(whole, at, first, length)]):
+            _by_bytes(whole, at[block == number], weight, length, again)
+    return again, starts
+
+
+def _differing(whole: bytes, at: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Which windows differ from the first one of their block; stretches are compared at once."""
+    order = np.argsort(at)
+    order = order[at[order] != first[order]]
+    a, b = at[order], first[order]
+    cut = np.flatnonzero((np.diff(a) != 1) | (np.diff(b) != 1)) + 1
+    wrong = [
+        order[i:j]
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(a)])
+        if j > i and whole[a[i] : a[j - 1] + length] != whole[b[i] : b[j - 1] + length]
+    ]
+    return np.concatenate(wrong) if wrong else np.zeros(0, dtype=np.int64)
+
+
+def _by_bytes(whole: bytes, at: np.ndarray, weight: np.ndarray, length: int, again: np.ndarray):
+    """A block that a hash has put together, counted anew by its bytes."""
+    total: dict[bytes, int] = {}
+    for i in at.tolist():
+        window = whole[i : i + length]
+        total[window] = total.get(window, 0) + int(weight[i])
+    for i in at.tolist():
+        again[i] = total[whole[i : i + length]] >= 2
 
 
 def _interleaved(shards: list[_Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -291,9 +327,9 @@ def _merge(length: int):
 
     def found(some: list[tuple]) -> pa.RecordBatch:
         again, starts = repeated_starts(
-            [s[2] for s in some],
-            np.array([s[3] for s in some]),
+            [s[3] for s in some],
             np.array([s[4] for s in some]),
+            np.array([s[5] for s in some]),
             length,
         )
         edges = np.diff(np.concatenate(([0], again.astype(np.int8), [0])))
@@ -302,26 +338,24 @@ def _merge(length: int):
         owner = np.searchsorted(starts, low, side="right") - 1
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.array([s[0] for s in some], dtype=np.int64)[owner]),
-                pa.array(np.array([s[1] for s in some], dtype=np.int64)[owner]),
+                *(pa.array(np.array([s[i] for s in some], dtype=np.int64)[owner]) for i in range(3)),
                 pa.array(low - starts[owner]),
                 pa.array(high - starts[owner]),
             ],
-            names=["gram", "digest", "low", "high"],
+            names=["gram", "d1", "d2", "low", "high"],
         )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: list[tuple] = []
         positions, gram = 0, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in
-                       ("gram", "digest", "snippet", "windows", "weight")]
+            columns = [batch.column(c).to_pylist() for c in _SNIPPET]
             for row in zip(*columns):
                 if row[0] != gram and positions >= BATCH_POSITIONS:
                     yield found(some)
                     some, positions = [], 0
                 some.append(row)
-                gram, positions = row[0], positions + len(row[2])
+                gram, positions = row[0], positions + len(row[3])
         if some:
             yield found(some)
 
@@ -331,6 +365,10 @@ def _merge(length: int):
 # -- the whole --------------------------------------------------------------------
 
 
+_SNIPPET = ["gram", "d1", "d2", "snippet", "windows", "weight"]
+_SNIPPET_DDL = "gram long, d1 long, d2 long, snippet binary, windows long, weight int"
+
+
 def _cut_out(length: int):
     """Snippets out of the texts that hold them."""
 
@@ -342,13 +380,15 @@ def _cut_out(length: int):
                 whole = text.as_py()
                 for w in wanted.as_py():
                     snippet = whole[w["first"] : w["last"] + length]
-                    out.append((w["gram"], w["digest"], snippet,
+                    told = w["d1"].to_bytes(8, "big", signed=True) + w["d2"].to_bytes(8, "big", signed=True)
+                    if _digest(snippet) != told:
+                        raise RuntimeError("a snippet is not where it was found")
+                    out.append((w["gram"], w["d1"], w["d2"], snippet,
                                 w["last"] - w["first"] + 1, w["weight"]))
-            columns = list(zip(*out)) if out else [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
+            columns = list(zip(*out)) if out else [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["gram", "digest", "snippet", "windows", "weight"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=_SNIPPET
             )
 
     return cut
@@ -359,14 +399,14 @@ def _windows(length: int):
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in
-                       ("gram", "digest", "snippet", "windows", "weight")]
-            for gram, digest, snippet, n, weight in zip(*columns):
-                found = [xxhash.xxh3_128_digest(snippet[i : i + length]) for i in range(n)]
+            columns = [batch.column(c).to_pylist() for c in _SNIPPET]
+            for gram, d1, d2, snippet, n, weight in zip(*columns):
+                found = [_digest(snippet[i : i + length]) for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([gram] * n), pa.array([digest] * n), pa.array(range(n), pa.int64()),
-                     pa.array(found, pa.binary()), pa.array([weight] * n, pa.int32())],
-                    names=["gram", "digest", "low", "window", "weight"],
+                    [pa.array([gram] * n), pa.array([d1] * n), pa.array([d2] * n),
+                     pa.array(range(n), pa.int64()), pa.array(found, pa.binary()),
+                     pa.array([weight] * n, pa.int32())],
+                    names=["gram", "d1", "d2", "low", "window", "weight"],
                 )
 
     return windows
@@ -375,7 +415,8 @@ def _windows(length: int):
 def _crowded_windows(snippets: DataFrame, length: int) -> DataFrame:
     rows, _ = write_table(
         snippets.mapInArrow(
-            _windows(length), "gram long, digest long, low long, window binary, weight int"
+            _windows(length),
+            "gram long, d1 long, d2 long, low long, window binary, weight int",
         ),
         "windows",
     )
@@ -385,7 +426,7 @@ def _crowded_windows(snippets: DataFrame, length: int) -> DataFrame:
         "windows",
     )
     return rows.join(again, F.col("window") == F.col("again")).select(
-        "gram", "digest", "low", F.col("low").alias("high")
+        "gram", "d1", "d2", "low", F.col("low").alias("high")
     )
 
 
@@ -420,49 +461,42 @@ def _kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def spans_to_remove(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
-    """``(uid, spans)`` of the texts that lose bytes; ``texts`` holds ``uid, text``."""
+    """``(uid, spans)`` of the texts that lose bytes; ``texts`` holds ``uid, text``.
+
+    ``texts`` is read twice and must give a row the same number both times.
+    """
     found, _ = write_table(
         texts.mapInArrow(
-            _snippets(length), "uid long, gram long, digest long, first long, last long"
+            _snippets(length), "uid long, gram long, d1 long, d2 long, first long, last long"
         ),
         "snippets",
     )
     shared, _ = write_table(
-        found.groupBy(F.col("gram").alias("s_gram"))
-        .agg(
-            F.count("*").alias("n"),
-            (F.min("digest") == F.max("digest")).alias("alike"),
-        )
-        .where("n > 1")
-        .drop("n"),
+        found.groupBy(F.col("gram").alias("s_gram")).agg(F.count("*").alias("n")).where("n > 1").drop("n"),
         "grams",
     )
     rows, _ = write_table(
         found.join(shared, F.col("gram") == F.col("s_gram")).drop("s_gram"), "snippets"
     )
-    apart = rows.where("not alike")
     place = F.struct("uid", "first", "last")
-    distinct = apart.groupBy("gram", "digest").agg(
+    distinct = rows.groupBy("gram", "d1", "d2").agg(
         F.min(place).alias("place"), F.least(F.count("*"), F.lit(2)).cast("int").alias("weight")
     )
     wanted, _ = write_table(
         distinct.groupBy(F.col("place.uid").alias("w_uid")).agg(
             F.collect_list(
-                F.struct("gram", "digest", "place.first", "place.last", "weight")
+                F.struct("gram", "d1", "d2", "place.first", "place.last", "weight")
             ).alias("wanted")
         ),
         "snippets",
     )
-    n = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
     snippets, _ = write_table(
         texts.join(wanted.hint("shuffle_merge"), F.col("uid") == F.col("w_uid"))
         .select("text", "wanted")
-        .mapInArrow(
-            _cut_out(length),
-            "gram long, digest long, snippet binary, windows long, weight int",
-        ),
+        .mapInArrow(_cut_out(length), _SNIPPET_DDL),
         "snippets",
     )
+    n = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
     grams = snippets.groupBy("gram").agg(F.count("*").alias("n"))
     n_cut, crowded = grams.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n") > crowd, F.lit(False))
@@ -479,20 +513,22 @@ def spans_to_remove(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
     again = (
         plain.repartition("gram")
         .sortWithinPartitions("gram")
-        .mapInArrow(_merge(length), "gram long, digest long, low long, high long")
+        .mapInArrow(_merge(length), "gram long, d1 long, d2 long, low long, high long")
     )
     if crowded:
         again = again.unionByName(
             _crowded_windows(snippets.join(many, same, "left_semi"), length)
         )
     again, _ = write_table(
-        again.select(F.col("gram").alias("a_gram"), F.col("digest").alias("a_digest"), "low", "high"),
+        again.select(
+            F.col("gram").alias("a_gram"), F.col("d1").alias("a_d1"), F.col("d2").alias("a_d2"), "low", "high"
+        ),
         "windows",
     )
-    partly = apart.join(
-        again, (F.col("gram") == F.col("a_gram")) & (F.col("digest") == F.col("a_digest"))
+    windows = rows.join(
+        again,
+        (F.col("gram") == F.col("a_gram")) & (F.col("d1") == F.col("a_d1")) & (F.col("d2") == F.col("a_d2")),
     ).select("uid", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high"))
-    wholly = rows.where("alike").select("uid", F.col("first").alias("low"), F.col("last").alias("high"))
 
     @F.arrow_udf("array<struct<low: long, high: long>>")
     def merged(found: pa.Array) -> pa.Array:
@@ -504,7 +540,7 @@ def spans_to_remove(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         return pa.array(spans, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())])))
 
     # A list is one text's own windows, bounded by its length.
-    lists = partly.unionByName(wholly).groupBy("uid").agg(
+    lists = windows.groupBy("uid").agg(
         F.collect_list(F.struct("low", "high")).alias("found")
     )
     return lists.select("uid", merged("found").alias("spans"))
@@ -516,10 +552,13 @@ def without_repeats(
     """One row per row of ``df``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     if length % LETTER or length <= GRAM:
         raise ValueError(f"length must be a multiple of {LETTER} above {GRAM}")
-    rows = df.select(
-        F.monotonically_increasing_id().alias("uid"),
-        col(id_column).alias("doc_id"),
-        text_of(col(text_column)).alias("text"),
+    rows, _ = write_table(
+        df.select(
+            F.monotonically_increasing_id().alias("uid"),
+            col(id_column).alias("doc_id"),
+            text_of(col(text_column)).alias("text"),
+        ),
+        "numbered",
     )
     spans, _ = write_table(
         spans_to_remove(rows.select("uid", "text"), length, crowd).withColumnRenamed("uid", "s_uid"),

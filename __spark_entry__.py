@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -23,14 +24,13 @@ from tidemark.sources import events as ev  # noqa: E402
 from tidemark.streaming.batch_log import BatchLog  # noqa: E402
 from tidemark.streaming.end_of_input import BoundedInput  # noqa: E402
 from tidemark.streaming.run import into_log  # noqa: E402
-from tidemark.workspace import new_folder, write_table  # noqa: E402
+from tidemark.workspace import date_files, new_folder, write_table  # noqa: E402
 
-try:  # the training-data operators live in folders that may be absent
+try:  # the training-data operators and libraries they need may be absent
     import corpus_pipeline
     from tidemark.llm import queries as llm_queries
 except ImportError as missing:
-    if missing.name not in ("corpus_pipeline", "tidemark.llm"):
-        raise
+    warnings.warn(f"the training-data queries are left out: {missing}", stacklevel=2)
     corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -285,15 +285,14 @@ STREAM_FILES, STREAM_FILE_ROWS = 4, 5_000_000
 ARRIVAL_FILES, ARRIVAL_STEP = 8, 12_000
 
 
-def _as_stream(spark, ranges, n):
-    """Rows with ``part`` in 0 to ``n`` - 1 as a stream of one part per micro-batch.
+def _as_stream(spark, parts):
+    """A stream of one partition of ``parts``, that is one file, per micro-batch.
 
-    A stream takes files by their age, so they are written one after the other.
+    A stream takes files by their age: all are written at once, then dated in order.
     """
     folder = new_folder(spark, "arrived")
-    for number in range(n):
-        part = ranges.where(F.col("part") == number).drop("part")
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    parts.write.parquet(f"{folder}/events.parquet")
+    date_files(spark, f"{folder}/events.parquet")
     return ev.read_events(spark, folder, streaming=True, maxFilesPerTrigger=1)
 
 
@@ -301,10 +300,7 @@ def _in_files(spark, sf_dir):
     """``events`` as a stream in several micro-batches, in order of time."""
     events = ev.read_events(spark, sf_dir).withColumn("ts", F.to_timestamp_ntz("ts"))
     n = max(STREAM_FILES, -(-events.count() // STREAM_FILE_ROWS))
-    ranges, _ = write_table(
-        events.repartitionByRange(n, "ts").withColumn("part", F.spark_partition_id()), "ranges"
-    )
-    return _as_stream(spark, ranges, n)
+    return _as_stream(spark, events.repartitionByRange(n, "ts"))
 
 
 def _as_they_arrive(spark, sf_dir):
@@ -315,14 +311,13 @@ def _as_they_arrive(spark, sf_dir):
     part = F.lit(0)
     if rows:
         part = F.expr(f"(arrival - {low}L) * {n}L div {high - low + 1}L").cast("int")
-    ranges, _ = write_table(
+    return _as_stream(
+        spark,
         events.withColumn("part", part)
-        .drop("arrival")
-        .withColumn("ts", F.to_timestamp_ntz("ts"))
-        .repartitionByRange(n, "part", "event_id"),
-        "ranges",
+        .repartitionById(n, "part")
+        .drop("arrival", "part")
+        .withColumn("ts", F.to_timestamp_ntz("ts")),
     )
-    return _as_stream(spark, ranges, n)
 
 
 def _bounded(spark, sf_dir, kind, convert):
@@ -396,22 +391,25 @@ def hot_urls_table_stream(spark, sf_dir):
     return changelog.latest(log.read(), ["endtime1", "rk"], "batch_id")
 
 
-def hot_urls_late_stream(spark, sf_dir):
-    bounded, records = _log_stream(spark, sf_dir, 0)
+def _late_job(spark, rows):
+    """The job with allowed lateness, run over ``rows`` to their end."""
+    bounded = BoundedInput(rows, new_folder(spark, "end-of-input"), "method", "ts")
     folder = new_folder(spark, "stream")
-    job = hot_urls.late_job(spark, folder, records)
-    bounded.run(lambda: hot_urls.start_hot_urls_late(records, job, f"{folder}/checkpoint"))
-    return job.current()
+    job = hot_urls.late_job(spark, folder, rows.schema)
+    records = event_time.with_event_time(bounded.rows, F.col("ts"), job.delay)
+    bounded.run(
+        lambda: hot_urls.start_hot_urls_late(records, job, f"{folder}/checkpoint", timed=True)
+    )
+    return job
+
+
+def hot_urls_late_stream(spark, sf_dir):
+    return _late_job(spark, ev.as_access_log(_in_files(spark, sf_dir), "ts")).current()
 
 
 def _late_job_as_they_arrive(spark, sf_dir):
-    """The job with allowed lateness, run over events in disorder to their end."""
-    records = ev.as_access_log(_as_they_arrive(spark, sf_dir), "event_id", "ts")
-    bounded = BoundedInput(records, new_folder(spark, "end-of-input"), "method", "ts")
-    folder = new_folder(spark, "stream")
-    job = hot_urls.late_job(spark, folder, bounded.rows)
-    bounded.run(lambda: hot_urls.start_hot_urls_late(bounded.rows, job, f"{folder}/checkpoint"))
-    return job
+    """The job with allowed lateness over events in disorder."""
+    return _late_job(spark, ev.as_access_log(_as_they_arrive(spark, sf_dir), "event_id", "ts"))
 
 
 def hot_urls_firings_stream(spark, sf_dir):
@@ -530,9 +528,8 @@ def _with_workers_path(query):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {query.__name__: query for query in _QUERIES}
     if llm_queries is not None:
-        own = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
-        found |= {name: _with_workers_path(query) for name, query in own.items()}
-    return found
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _with_workers_path(query) for name, query in found.items()}
 
 
 # -- SQL equivalents ----------------------------------------------------------

@@ -193,10 +193,13 @@ def literal_batches(batches, rule, n):
         yield fired, list(late)
 
 
-def test_late_stream_fires_revises_and_sets_aside(spark, tmp_path):
-    rule = LatenessRule(size=minutes(2), slide=10_000, delay=1_000, lateness=60_000)
-    rng, folder, now, batches = random.Random(9), tmp_path / "in", 0, []
-    for i in range(6):
+RULE = {"size": minutes(2), "slide": 10_000, "delay": 1_000, "lateness": 60_000}
+
+
+def late_batches():
+    """Files of disordered requests."""
+    rng, now, batches = random.Random(9), 0, []
+    for _ in range(6):
         batch = []
         for _ in range(30):
             now += rng.randrange(0, 6_000)
@@ -204,28 +207,40 @@ def test_late_stream_fires_revises_and_sets_aside(spark, tmp_path):
             when = max(0, now - rng.randrange(back + 1)) // 1000 * 1000
             batch.append((when, rng.choice(["GET", "GET", "HEAD"]), f"/p/{rng.randrange(8)}"))
         batches.append(batch)
-        put(folder, i, [log_line(*row) for row in batch])
-    put(folder, 6, [END_ACCESS_LOG_LINE])
-    batches.append([(10**13, "__end__", "-")])
+    return batches
 
-    def source():
-        return access_log_time(parse_access_log(stream(spark, folder)))
 
-    job = hot_urls.late_job(
-        spark, str(tmp_path / "out"), source(), n=3, size=rule.size, slide=rule.slide,
-        delay=rule.delay, lateness=rule.lateness,
-    )
-    hot_urls.start_hot_urls_late(source(), job, str(tmp_path / "cp")).awaitTermination()
+def late_job(spark, tmp_path, folder):
+    source = parse_access_log(stream(spark, folder))
+    schema = access_log_time(source).schema
+    job = hot_urls.late_job(spark, str(tmp_path / "out"), schema, n=3, **RULE)
+    hot_urls.start_hot_urls_late(source, job, str(tmp_path / "cp")).awaitTermination()
+    return job
+
+
+@pytest.mark.parametrize("restarts", [False, True])
+def test_late_stream_fires_revises_and_sets_aside(spark, tmp_path, restarts):
+    """All at once, or with a new job on the old checkpoint after each file."""
+    rule, folder = LatenessRule(**RULE), tmp_path / "in"
+    batches = late_batches()
+    for i, batch in enumerate(batches):
+        put(folder, i, [log_line(*row) for row in batch])
+        if restarts:
+            late_job(spark, tmp_path, folder)
+    put(folder, len(batches), [END_ACCESS_LOG_LINE])
+    batches.append([(10**13, "__end__", "-")])
+    job = late_job(spark, tmp_path, folder)
 
     got = defaultdict(lambda: defaultdict(list))
-    for r in job.ranked.read().orderBy("batch_id", "window_end", "rk").collect():
-        got[r.batch_id][r.window_end - MIDNIGHT].append((r.rk, r.url, r["count"]))
+    for r in job.firings().orderBy("version", "window_end", "rk").collect():
+        got[r.window_end - MIDNIGHT][r.version].append((r.rk, r.url, r["count"]))
     fired = list(literal_batches(batches, rule, 3))
-    revised = 0
-    for batch_id, (want, _) in enumerate(fired):
-        assert dict(got[batch_id]) == want, batch_id
-        revised += sum(end in f for f, _ in fired[:batch_id] for end in want)
-    assert revised > 0
+    versions = defaultdict(list)
+    for want, _ in fired:
+        for end, ranking in want.items():
+            versions[end].append(ranking)
+    assert {end: [v[k] for k in sorted(v)] for end, v in got.items()} == versions
+    assert max(map(len, versions.values())) > 1
     want_late = fired[-1][1]
     got_late = [(r.event_time - MIDNIGHT, r.url) for r in job.late.rows().collect()]
     assert want_late and sorted(got_late) == sorted(want_late)
@@ -239,36 +254,45 @@ def test_late_stream_fires_revises_and_sets_aside(spark, tmp_path):
     assert dict(current) == final
 
 
-def test_the_late_job_forgets(spark, tmp_path):
-    """Many micro-batches: what is kept stays as small as the time a window is open."""
-    rule = LatenessRule(size=20_000, slide=10_000, delay=1_000, lateness=10_000)
-    schema = "ip string, user_id string, event_time long, method string, url string"
+def test_state_ends_with_its_windows(spark, tmp_path):
+    """Nothing is held for keys whose windows have all passed; what is held stays small."""
+    folder = tmp_path / "in"
+    rule = {"size": 20_000, "slide": 10_000, "delay": 1_000, "lateness": 10_000}
+    sizes = []
+    for i in range(8):
+        put(folder, i, [log_line(i * 30_000 + k * 100, "GET", f"/{i}/{k % 3}") for k in range(6)])
+        source = parse_access_log(stream(spark, folder))
+        job = hot_urls.late_job(spark, str(tmp_path / "out"), access_log_time(source).schema, **rule)
+        query = hot_urls.start_hot_urls_late(source, job, str(tmp_path / "cp"))
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]
+        sizes.append(state["numRowsTotal"])
+    assert max(sizes) <= 3 * 3 * 2 and sizes[-1] <= sizes[2]
+    # Every closed window's final ranking counts all its records.
+    totals = job.current().groupBy("window_end").agg(F.sum("count").alias("n")).collect()
+    assert len(totals) >= 12 and {r.n for r in totals} == {6}
+
 
-    def batch(i):
-        rows = [("ip", "u", MIDNIGHT + i * 5_000 + k * 100, "GET", f"/{k % 3}") for k in range(6)]
-        return access_log_time(spark.createDataFrame(rows, schema))
+def test_a_hot_key_is_counted_before_it_is_shuffled(spark, tmp_path, plan):
+    """One row per slot and Arrow batch reaches the keyed state; no window copies do."""
+    folder = tmp_path / "in"
+    put(folder, 0, [f"1,7,1,pv,{10 + i % 3}" for i in range(5000)])
+    put(folder, 1, [END_BEHAVIOR_LINE])
+    counts = stream_count(
+        page_views(behavior_time(parse_behavior(stream(spark, folder)))), ["item_id"], hours(1), minutes(5)
+    )
+    seen = []
 
-    def partitions(log):
-        return {d for d in os.listdir(log.path) if d.startswith("batch_id=")}
+    def look(batch, batch_id):
+        log.write(batch, batch_id)
+        seen.append(batch._jdf.queryExecution().toString())
 
-    out = str(tmp_path / "out")
-    job = hot_urls.late_job(spark, out, batch(0), size=rule.size, slide=rule.slide,
-                            delay=rule.delay, lateness=rule.lateness)
-    sizes = []
-    for i in range(50):
-        job(batch(i), i)
-        sizes.append((len(partitions(job.progress)), len(partitions(job.intervals))))
-    assert max(sizes[15:]) == min(sizes[15:]) and max(sizes) <= (5, 14)
-    ranked = rows(job.ranked.read().where("batch_id = 49"))
-    kept = partitions(job.intervals)
-    job(batch(49), 49)
-    assert rows(job.ranked.read().where("batch_id = 49")) == ranked and ranked
-    assert partitions(job.intervals) == kept
-    # Every closed window's final ranking counts all its records.
-    totals = {r.window_end: r.n for r in job.current().groupBy("window_end").agg(
-        F.sum("count").alias("n")).collect()}
-    whole = [n for end, n in totals.items() if MIDNIGHT + 20_000 <= end <= MIDNIGHT + 200_000]
-    assert whole and set(whole) == {24}
+    log = BatchLog(spark, str(tmp_path / "out"), counts.schema)
+    query = start(counts, look, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert rows(log.rows()) == [(end * 300_000, 7, 5000) for end in range(1, 13)]
+    state = [p["stateOperators"][0] for p in query.recentProgress]
+    assert max(p["numRowsUpdated"] for p in state) <= 3
 
 
 STREAMS = {
@@ -293,24 +317,6 @@ def test_streams_of_several_batches_equal_batch(spark, name):
     assert got.count() == want.count() > 0
 
 
-def test_a_batch_run_twice_leaves_the_same_result(spark, tmp_path):
-    log = access_log_time(
-        parse_access_log(
-            spark.createDataFrame(
-                [(log_line(t, "GET", "/a"),) for t in (1_000, 400_000, 900_000)], "value string"
-            )
-        )
-    )
-    job = hot_urls.late_job(spark, str(tmp_path / "out"), log)
-    job(log, 0)
-    job(log.where("event_time > 0"), 1)
-    first = rows(job.ranked.read()), rows(job.late.read()), rows(job.intervals.read())
-    job(log, 1)
-    assert first == (rows(job.ranked.read()), rows(job.late.read()), rows(job.intervals.read()))
-    # The second batch repeats all rows; the first one is too late by then.
-    assert [r.event_time - MIDNIGHT for r in job.late.rows().collect()] == [1_000]
-
-
 def test_hourly_stream_from_events_table(spark):
     import __spark_entry__ as entry
 

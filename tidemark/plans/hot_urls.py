@@ -32,7 +32,7 @@ from ..sinks.text import labelled, record_text
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
 from ..streaming.counts import stream_count
-from ..streaming.late_top_n import LateTopN
+from ..streaming.revised_top_n import RevisedTopN
 from ..streaming.run import BatchHandler, into_log, start
 from ..workspace import write_table
 
@@ -180,24 +180,25 @@ def start_hot_urls(
 
 
 def start_hot_urls_late(
-    log: DataFrame, job: LateTopN, checkpoint: str, *, interval: str | None = None
+    log: DataFrame,
+    job: RevisedTopN,
+    checkpoint: str,
+    *,
+    interval: str | None = None,
+    timed: bool = False,
 ) -> StreamingQuery:
-    """First and revised rankings, and the late output, as the data come in."""
-    return start(log, job, checkpoint, interval=interval)
-
-
-def late_job(spark, path: str, timed: DataFrame, n: int = TOP, **rule) -> LateTopN:
-    """Handler for :func:`start_hot_urls_late`; ``timed`` gives the record schema."""
-    return LateTopN(
-        spark,
-        path,
-        timed.schema,
-        key="url",
-        wanted=F.col("method").eqNullSafe("GET"),
-        n=n,
-        rule=LatenessRule(**{"size": SIZE, "slide": SLIDE, "delay": DELAY,
-                             "lateness": LATENESS, **rule}),
-    )
+    """First and revised rankings, and the late output, as the data come in.
+
+    ``timed``: ``log`` carries ``ts`` and a watermark that is ``job.delay`` behind.
+    """
+    records = log if timed else access_log_time(log, job.delay)
+    return start(job.stream(get_requests(records)), job, checkpoint, interval=interval)
+
+
+def late_job(spark, path: str, records: StructType, n: int = TOP, **rule) -> RevisedTopN:
+    """Job for :func:`start_hot_urls_late`; ``records`` is the schema of its late output."""
+    rule = {"size": SIZE, "slide": SLIDE, "delay": DELAY, "lateness": LATENESS, **rule}
+    return RevisedTopN(spark, path, records, key="url", n=n, rule=LatenessRule(**rule))
 
 
 def upsert_batch(n: int = TOP):

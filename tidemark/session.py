@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 _DEFAULTS = {
     # Window ends, access-log times and report times are all read in UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Sliding windows keep one state row per key and open window; RocksDB
-    # holds them outside the JVM heap and uploads only what changed.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    # RocksDB holds state outside the JVM heap and uploads only what changed;
+    # keyed processors need it.
+    _STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -39,5 +39,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pin_state_store(spark: SparkSession) -> SparkSession:
+    """Queries started from now on keep their state in RocksDB, whoever built the session."""
+    spark.conf.set(_STATE_STORE, _DEFAULTS[_STATE_STORE])
+    return spark
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

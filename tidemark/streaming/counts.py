@@ -1,4 +1,8 @@
-"""Windowed counts on streams, on Spark's own watermark and state."""
+"""Windowed counts on streams, on Spark's own watermark and state.
+
+Tumbling windows are a streaming aggregation. Sliding windows that are whole slots
+are intervals in keyed state (``window_state``) and written out when they close.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import interval_text
+from ..operators.windows import window_ends
+from .window_state import window_stretches
 
 
 def stream_count(
@@ -19,22 +25,15 @@ def stream_count(
     ts: str = "ts",
     name: str = "count",
 ) -> DataFrame:
-    """Rows per key and window, for append mode: each window once, when closed.
-
-    Sliding windows are built from slide-wide panes: state of the first
-    aggregation is one row per key and open pane, and the second one copies
-    finished pane counts, not records, into their windows.
-    """
-    count = F.count(F.lit(1)).alias(name)
-    if slide is None or slide == size:
-        counted = df.groupBy(F.window(ts, interval_text(size)).alias("_w"), *keys).agg(count)
-    elif size % slide:
-        window = F.window(ts, interval_text(size), interval_text(slide))
-        counted = df.groupBy(window.alias("_w"), *keys).agg(count)
-    else:
-        panes = df.groupBy(F.window(ts, interval_text(slide)).alias("_pane"), *keys).agg(count)
-        window = F.window(F.window_time("_pane"), interval_text(size), interval_text(slide))
-        counted = panes.groupBy(window.alias("_w"), *keys).agg(F.sum(name).alias(name))
+    """Rows per key and window, for append mode: each window once, when closed."""
+    if slide and slide != size and size % slide == 0:
+        stretches = window_stretches(df, keys, size, slide, ts=ts).where("_rows is not null")
+        written = window_ends(stretches.withColumnRenamed("_rows", name), keys, [name], slide)
+        return written.select("window_end", *keys, name)
+    every = [interval_text(ms) for ms in (size, slide) if ms]
+    counted = df.groupBy(F.window(ts, *every).alias("_w"), *keys).agg(
+        F.count(F.lit(1)).alias(name)
+    )
     return counted.select(F.unix_millis("_w.end").alias("window_end"), *keys, name)
 
 

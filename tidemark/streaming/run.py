@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import pin_state_store
 from .batch_log import BatchLog
 
 BatchHandler = Callable[[DataFrame, int], None]
@@ -27,6 +28,7 @@ def start(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Run ``handle`` per micro-batch: every ``interval``, or over what is there now."""
+    pin_state_store(stream.sparkSession)
     writer = (
         stream.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)

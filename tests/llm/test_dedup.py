@@ -274,8 +274,8 @@ def test_suffix_removal_while_the_input_is_dealt_otherwise(spark, tmp_path, monk
 # -- embeddings ----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [16, 1024])
-def test_vectors_link_as_all_pairs_do(spark, block):
+@pytest.mark.parametrize("block, recall", [(16, 0.995), (1024, 0.995), (16, None), (1024, None)])
+def test_vectors_link_as_all_pairs_do(spark, block, recall):
     rng = np.random.default_rng(3)
     rows = []
     for label in (0, 1, 2):
@@ -289,7 +289,7 @@ def test_vectors_link_as_all_pairs_do(spark, block):
     table = [(i, v, label, "x") for i, (v, label) in enumerate(rows)]
     schema = "vec_id long, v array<float>, label int, n_links string"
     found = embedding_dedup.near_vectors(
-        spark.createDataFrame(table, schema), "vec_id", "v", "label", block=block
+        spark.createDataFrame(table, schema), "vec_id", "v", "label", block=block, recall=recall
     ).collect()
 
     def usable(v):
@@ -307,6 +307,7 @@ def test_vectors_link_as_all_pairs_do(spark, block):
     wrong = sum(r.n_links != n for r, n in zip(got, links))
     assert sum(r.n_links for r in got) >= 0.97 * links.sum() and wrong <= 0.1 * len(rows)
     assert all(r.n_links <= n for r, n in zip(got, links))
+    assert wrong == 0 or recall is not None
     if wrong == 0:
         assert [r.component_id for r in got] == roots
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
@@ -322,3 +323,40 @@ def test_collision_count_meets_its_recall():
     rng = np.random.default_rng(1)
     hits = (np.abs(rng.standard_normal((20_000, 64))) <= 1.0).sum(axis=1)
     assert (hits >= n).mean() >= 0.985 and (hits >= n + 3).mean() < 0.99
+
+
+def test_vectors_of_a_large_label_at_the_bound(spark):
+    """10,000 vectors of one label, and 1,500 at cosines just above the bound and below it."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((10_000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.standard_normal((1_500, 64))
+    aside -= (aside * base[:1_500]).sum(axis=1, keepdims=True) * base[:1_500]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = np.where(np.arange(1_500) % 3 < 2, rng.uniform(0.9301, 0.94, 1_500), rng.uniform(0.91, 0.9299, 1_500))
+    mates = cosine[:, None] * base[:1_500] + np.sqrt(1 - cosine**2)[:, None] * aside
+    rows = [(i, v.tolist(), "hot") for i, v in enumerate(np.vstack([base, mates]))]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>, label string")
+    found = embedding_dedup.near_vectors(df, "vec_id", "v", "label").where("not kept").collect()
+    got = {(r.component_id, r.vec_id - 10_000) for r in found}
+    want = {(i, i) for i in range(1_500) if cosine[i] >= 0.93}
+    assert got <= want and len(got) >= 0.98 * len(want)
+
+
+def test_vectors_without_ids_and_with_clashing_names(spark):
+    schema = "vec_id long, v array<double>, label int, uid int, a int, b int, `group` int, vector int, n long"
+    near, other = [1.0, 0.0], [0.0, 1.0]
+    rows = [(i, v, 1, 0, 0, 0, 0, 0, 0) for i, v in
+            [(None, near), (None, near), (7, other), (7, other), (3, other), (None, [-1.0, 0.0])]]
+    found = embedding_dedup.near_vectors(spark.createDataFrame(rows, schema), "vec_id", "v", "label")
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, [
+        (None, 1, None, True), (None, 1, None, True), (7, 2, 3, False), (7, 2, 3, False),
+        (3, 2, 3, True), (None, 0, None, True)]))
+
+
+def test_windows_on_sorted_projections_count_what_lies_in_them():
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-300, 300, (50, 64)).astype(np.int16)
+    queries = rows[:7]
+    want = (np.abs(queries[:, None].astype(int) - rows[None]) <= 40).sum(axis=2)
+    assert (embedding_dedup._collisions(queries, rows, 40) == want).all()

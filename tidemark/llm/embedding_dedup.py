@@ -1,18 +1,25 @@
 """Near-duplicate embeddings by counting collisions of one-dimensional projections.
 
 Vectors of equal label and length are compared by cosine. Every unit vector is projected
-on ``PROJECTIONS`` random directions. Two vectors collide on a projection when one lies
-in the window centred on the other. A pair at the cosine bound collides on each with a
-known probability, so the number of collisions that such a pair reaches with probability
-``RECALL`` is the count above which a pair is verified, exactly and in double precision.
-
-Which pairs are counted: the rows of a label are sorted into cells by windows over a few
-of the projections, in several rounds with other projections and shifts. The number of
+on ``PROJECTIONS`` random directions. Each projection of a part of the rows is sorted; a
+row's window on it is the stretch of the sorted values within ``WINDOW`` distances of its
+own, found by two binary searches. Who is in a row's windows is counted per pair. A pair
+at the cosine bound lies within the window of each projection with a known probability,
+so the count that such a pair reaches with probability ``RECALL`` is the count from which
+a pair is verified: exactly, in double precision, on the vectors themselves. These are
+fetched for such pairs only; what is shuffled before are ids and rounded projections.
+
+Which rows are a part: a window of one projection holds a fifth of all unit vectors of a
+label, so pairs from windows over whole labels would grow with the square of a label.
+The rows of a label are therefore sorted into cells by windows over a few of the
+projections, in several rounds with other projections and shifts. The number of
 projections per cell grows with the logarithm of the label's rows, so that a cell of
 unrelated vectors keeps its size, and the number of rounds follows from the same recall.
 A pair that shares cells in several rounds is counted in the first of them only. A
-crowded cell is compared as pairs of blocks. Tasks give back each vector's number of
-links and links that span what is linked, never pairs.
+crowded cell is compared as pairs of blocks.
+
+With ``recall=None`` nothing is left to chance: every pair of a label is compared, block
+by block, which is quadratic in a label's rows.
 
 Defined cases. A vector that is null, empty, zero, or holds a null or non-finite
 component, and one without a label, links with nothing: no links, its own component.
@@ -43,12 +50,14 @@ WINDOW = 1.0
 #: A cell's width, in the same distances.
 CELL = 4.0
 #: Of pairs at the cosine bound, the share that shares a cell, and that is counted so.
-RECALL = 0.99
+RECALL = 0.995
 #: Rows of one cell that are compared in one task.
 BLOCK = 1024
 #: Chance that unrelated unit vectors share a cell's window on one projection.
 _FAR_CELL = 0.4
 _SEED = 20
+#: Projections are rounded to so many steps in the distance of a pair at the bound.
+_STEPS = 256
 
 
 def _normal_within(x: float) -> float:
@@ -95,8 +104,15 @@ def _units(vectors: pa.Array | pa.ChunkedArray, length: int) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _in_cells(width: float):
-    """Each row once per round, with the cell it falls into."""
+def _rounded(vectors: pa.Array, length: int, delta: float) -> np.ndarray:
+    """Projections in steps; unit vectors keep them within 16 bits."""
+    projected = _units(vectors, length) @ _directions(length)
+    limit = np.iinfo(np.int16).max
+    return np.clip(np.rint(projected * (_STEPS / delta)), -limit, limit).astype(np.int16)
+
+
+def _in_cells(delta: float):
+    """Each row once per round, with the cell it falls into and its projections."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,90 +120,171 @@ def _in_cells(width: float):
             shape = np.column_stack([lengths, batch.column("per_cell").to_numpy()])
             for length, per_cell in np.unique(shape, axis=0).tolist():
                 some = batch.take(pa.array(np.flatnonzero((shape == [length, per_cell]).all(axis=1))))
-                projected = _units(some.column("vector"), length) @ _directions(length)
-                rounds = int(some.column("rounds")[0].as_py())
+                rounded = _rounded(some.column("vector"), length, delta)
+                sketch = pa.array([row.tobytes() for row in rounded], pa.binary())
+                n, rounds = some.num_rows, int(some.column("rounds")[0].as_py())
                 for round_ in range(rounds):
-                    cell = pa.array(_cells(projected, width, per_cell, round_))
-                    number = pa.array(np.full(some.num_rows, round_, np.int32))
-                    yield some.append_column("round", number).append_column("cell", cell)
+                    cell = _cells(rounded, CELL * _STEPS, per_cell, round_)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column("uid"), some.column("group"), pa.array(cell),
+                         pa.array(np.full(n, round_, np.int32)),
+                         pa.array(np.full(n, per_cell, np.int32)), sketch],
+                        names=["uid", "group", "cell", "round", "per_cell", "sketch"],
+                    )
 
     return place
 
 
-def _collisions(a: np.ndarray, b: np.ndarray, half: int) -> np.ndarray:
-    """How often each row of ``a`` and each of ``b`` lie in each other's window."""
-    counts = np.zeros((len(a), len(b)), dtype=np.uint8)
-    for k in range(a.shape[1]):
-        counts += np.abs(a[:, k, None] - b[None, :, k]) <= half
-    return counts
+_PLACED = "uid long, group long, cell long, round int, per_cell int, sketch binary"
+
 
+def _collisions(queries: np.ndarray, rows: np.ndarray, half: int) -> np.ndarray:
+    """How many projections have each of ``rows`` in the window around each query.
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest member each of ``n`` members reaches over links ``a``-``b``."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        after = root.copy()
-        np.minimum.at(after, a, low)
-        np.minimum.at(after, b, low)
-        np.minimum.at(after, root[a], low)
-        np.minimum.at(after, root[b], low)
-        after = after[after]
-        if (after == root).all():
-            return root
-        root = after
+    Every projection of the rows is sorted; all of them form one sorted sequence, a
+    projection after the other, in which each query has one window per projection.
+    """
+    n, axes = rows.shape
+    apart = np.int64(1 << 20)
+    offset = np.arange(axes, dtype=np.int64) * apart
+    order = np.argsort(rows, axis=0, kind="stable")
+    line = (np.take_along_axis(rows, order, axis=0) + offset).T.ravel()
+    member = order.T.ravel()
+    centre = queries.astype(np.int64) + offset
+    low = np.searchsorted(line, (centre - half).ravel(), side="left")
+    high = np.searchsorted(line, (centre + half).ravel(), side="right")
+    size = high - low
+    starts = np.cumsum(size) - size
+    found = member[np.arange(size.sum()) - np.repeat(starts - low, size)]
+    query = np.repeat(np.repeat(np.arange(len(queries)), axes), size)
+    return np.bincount(query * n + found, minlength=len(queries) * n).reshape(-1, n)
 
 
-def _compare(least: float, delta: float):
-    enough = least_collisions(PROJECTIONS, WINDOW, RECALL)
-    scale = 4096 / delta  # projections as integers; a window's rounding is below 0.1 %
-    half = int(WINDOW * delta * scale) + 1
+def _candidates(recall: float):
+    """Pairs of a part that reach the count, each in the first round they share a cell."""
+    enough = least_collisions(PROJECTIONS, WINDOW, recall)
+    half = int(WINDOW * _STEPS) + 1  # a step more than rounding takes
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_parts(batches, "key"):
             starts = runs(table, "key")
             for low, high in zip(starts, starts[1:]):
                 if high - low > 1:
-                    yield from _linked(table.slice(low, high - low))
-
-    def _linked(part: pa.Table) -> Iterator[pa.RecordBatch]:
-        length, per_cell = part["length"][0].as_py(), part["per_cell"][0].as_py()
-        rounds = part["round"].to_numpy()
-        units = _units(part["vector"], length)
-        projected = units @ _directions(length)
-        whole = np.rint(projected * scale).astype(np.int32)
-        side, label = part["side"].to_numpy(), part["label"].to_numpy(zero_copy_only=False)
-        width = CELL * delta
-        earlier = [_cells(projected, width, per_cell, r) for r in range(int(rounds[0]))]
-        found = []
+                    yield from _pairs_of(table.slice(low, high - low))
+
+    def _pairs_of(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        sketch = b"".join(part["sketch"].to_pylist())
+        rounded = np.frombuffer(sketch, dtype=np.int16).reshape(part.num_rows, -1)
+        side, uid = part["side"].to_numpy(), part["uid"].to_numpy()
+        cell, group = part["cell"].to_numpy(), part["group"].to_numpy()
+        per_cell, rounds = part["per_cell"][0].as_py(), part["round"][0].as_py()
+        earlier = [_cells(rounded, CELL * _STEPS, per_cell, r) for r in range(rounds)]
         left = np.flatnonzero(side != 1)
-        right = left if side[0] == WITHIN else np.flatnonzero(side == 1)
+        within = side[0] == WITHIN
+        right = left if within else np.flatnonzero(side == 1)
         for at in range(0, len(left), 128):
             tile = left[at : at + 128]
-            i, j = np.nonzero(_collisions(whole[tile], whole[right], half) >= enough)
+            i, j = np.nonzero(_collisions(rounded[tile], rounded[right], half) >= enough)
             i, j = tile[i], right[j]
-            fits = (i < j) if side[0] == WITHIN else np.ones(len(i), dtype=bool)
-            fits &= label[i] == label[j]
+            fits = (group[i] == group[j]) & (cell[i] == cell[j])
+            if within:
+                fits &= i < j
             for cells in earlier:
                 fits &= cells[i] != cells[j]
-            i, j = i[fits], j[fits]
-            cosine = np.einsum("ij,ij->i", units[i], units[j])
-            found.append(np.column_stack([i, j])[cosine >= least])
-        pairs = np.vstack(found)
-        if not len(pairs):
-            return
-        n = np.bincount(pairs.ravel(), minlength=len(units))
-        root = _roots(len(units), pairs[:, 0], pairs[:, 1])
-        rows = np.flatnonzero(n)
-        uid = part["uid"].to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(uid[rows]), pa.array(n[rows]), pa.array(uid[root[rows]])],
-            names=["uid", "n", "mate"],
-        )
+            if fits.any():
+                yield _pairs(uid[i[fits]], uid[j[fits]])
 
     return compare
 
 
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
+
+
+def _verified(least: float):
+    """Pairs with their vectors: those at the bound."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column("length").to_numpy()
+            for length in np.unique(lengths).tolist():
+                some = batch.take(pa.array(np.flatnonzero(lengths == length)))
+                near = _cosines(
+                    _units(some.column("vector"), length), _units(some.column("mate_vector"), length)
+                ) >= least
+                kept = some.filter(pa.array(near))
+                yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+    return verify
+
+
+def _all_pairs(least: float):
+    """The exact mode: all pairs of a part on their vectors."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_parts(batches, "key"):
+            starts = runs(table, "key")
+            for low, high in zip(starts, starts[1:]):
+                part = table.slice(low, high - low)
+                units = _units(part["vector"], part["length"][0].as_py())
+                side, uid, group = (part[c].to_numpy() for c in ("side", "uid", "group"))
+                left, within = np.flatnonzero(side != 1), side[0] == WITHIN
+                right = left if within else np.flatnonzero(side == 1)
+                # The product finds them but for its rounding, the sum per pair decides.
+                i, j = np.nonzero(units[left] @ units[right].T >= least - 1e-9)
+                i, j = left[i], right[j]
+                fits = (group[i] == group[j]) & (_cosines(units[i], units[j]) >= least)
+                if within:
+                    fits &= i < j
+                if fits.any():
+                    yield _pairs(uid[i[fits]], uid[j[fits]])
+
+    return compare
+
+
+def _found_by_collisions(fit: DataFrame, least: float, block: int, recall: float) -> DataFrame:
+    delta = math.sqrt(2 - 2 * least)
+    sizes = fit.groupBy(F.col("group").alias("own_group")).agg(F.count("*").alias("rows"))
+    per_cell = F.least(
+        F.greatest(F.round(F.log(F.col("rows") / block) / math.log(1 / _FAR_CELL)), F.lit(0.0)),
+        F.lit(16.0),
+    )
+    missed = 1 - F.pow(F.lit(_near_cell(CELL)), F.col("per_cell"))
+    sizes = sizes.withColumn("per_cell", per_cell).select(
+        "own_group",
+        F.col("per_cell").cast("int").alias("per_cell"),
+        F.when(F.col("per_cell") == 0, 1)
+        .otherwise(F.ceil(math.log(1 - recall) / F.log(missed)))
+        .cast("int")
+        .alias("rounds"),
+    )
+    sizes, _ = write_table(sizes, "labels")
+    side = F.broadcast(sizes) if may_broadcast(sizes.count(), 64) else sizes
+    placed = fit.join(side, F.col("group") == F.col("own_group")).drop("own_group")
+    cells, _ = write_table(
+        placed.mapInArrow(_in_cells(delta), _PLACED).withColumn(
+            "key", F.xxhash64("group", "round", "cell")
+        ),
+        "cells",
+    )
+    pairs, _ = write_table(
+        dealt(cells, "key", "uid", block).mapInArrow(_candidates(recall), "a long, b long"), "pairs"
+    )
+    mates = fit.select(F.col("uid").alias("b"), F.col("vector").alias("mate_vector"),
+                       F.col("group").alias("mate_group"))
+    return (
+        pairs.join(fit.withColumnRenamed("uid", "a"), "a")
+        .join(mates, "b")
+        .where("group = mate_group")
+        .select("a", "b", "length", "vector", "mate_vector")
+        .mapInArrow(_verified(least), "a long, b long")
+    )
+
+
 def near_vectors(
     df: DataFrame,
     id_column: str,
@@ -195,9 +292,13 @@ def near_vectors(
     label_column: str,
     least: float = LEAST_COSINE,
     block: int = BLOCK,
+    recall: float | None = RECALL,
 ) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``."""
-    delta = math.sqrt(2 - 2 * least)
+    """One row per vector: ``vec_id, n_links, component_id, kept``.
+
+    ``recall`` is the share of pairs at the bound that share a cell, and that of those
+    which reach the count; closer pairs are found more often. None: all pairs.
+    """
     vector = col(vector_column)
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fit = col(label_column).isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
@@ -205,61 +306,40 @@ def near_vectors(
         df.select(
             F.monotonically_increasing_id().alias("uid"),
             col(id_column).alias("vec_id"),
-            col(label_column).alias("label"),
+            F.xxhash64(col(label_column), F.size(vector)).alias("group"),
             vector.alias("vector"),
             F.coalesce(fit, F.lit(False)).alias("fit"),
             F.size(vector).alias("length"),
         ),
         "vectors",
     )
-    fit_rows = numbered.where("fit").drop("fit", "vec_id")
-    sizes = fit_rows.groupBy("label", "length").agg(F.count("*").alias("rows"))
-    per_cell = F.least(
-        F.greatest(F.round(F.log(F.col("rows") / block) / math.log(1 / _FAR_CELL)), F.lit(0.0)),
-        F.lit(16.0),
-    )
-    missed = 1 - F.pow(F.lit(_near_cell(CELL)), F.col("per_cell"))
-    sizes = sizes.withColumn("per_cell", per_cell).select(
-        F.col("label").alias("own_label"),
-        F.col("length").alias("own_length"),
-        F.col("per_cell").cast("int").alias("per_cell"),
-        F.when(F.col("per_cell") == 0, 1)
-        .otherwise(F.ceil(math.log(1 - RECALL) / F.log(missed)))
-        .cast("int")
-        .alias("rounds"),
-    )
-    sizes, _ = write_table(sizes, "labels")
-    side = F.broadcast(sizes) if may_broadcast(sizes.count(), 100) else sizes
-    placed = fit_rows.join(
-        side, (F.col("label") == F.col("own_label")) & (F.col("length") == F.col("own_length"))
-    ).drop("own_label", "own_length")
-    schema = f"{_ddl(placed)}, round int, cell long"
-    cells = placed.mapInArrow(_in_cells(CELL * delta), schema).withColumn(
-        "key", F.xxhash64("label", "length", "round", "cell")
-    ).drop("cell", "rounds")
-    compared = dealt(cells, "key", "uid", block).mapInArrow(
-        _compare(least, delta), "uid long, n long, mate long"
+    rows = numbered.where("fit").select("uid", "group", "length", "vector")
+    if recall is None:
+        found = dealt(rows.withColumn("key", F.col("group")), "key", "uid", block).mapInArrow(
+            _all_pairs(least), "a long, b long"
+        )
+    else:
+        found = _found_by_collisions(rows, least, block, recall)
+    links, _ = write_table(found, "vector-links")
+    both = links.select(F.col("a").alias("c_uid")).unionByName(links.select(F.col("b").alias("c_uid")))
+    counts = both.groupBy("c_uid").agg(F.count("*").alias("n"))
+    # A node is named so that the least of a component is the answer.
+    node = F.struct(F.col("vec_id").isNull().alias("no_id"), "vec_id", "uid")
+    own = numbered.select("uid", "vec_id", node.alias("node"))
+    ends = own.select("uid", "node")
+    named = links.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
+    parts = components(named, "x", "y").select(
+        F.col("node.uid").alias("p_uid"), F.col("component.vec_id").alias("component_id")
     )
-    links, _ = write_table(compared, "vector-links")
-    counts = links.groupBy("uid").agg(F.sum("n").alias("n"))
-    parts = components(links, "uid", "mate")
-    own = numbered.select("uid", "vec_id")
-    named = (
-        own.join(counts.withColumnRenamed("uid", "c_uid"), F.col("uid") == F.col("c_uid"), "left")
-        .join(parts, F.col("uid") == F.col("node"), "left")
+    return (
+        own.join(counts, F.col("uid") == F.col("c_uid"), "left")
+        .join(parts, F.col("uid") == F.col("p_uid"), "left")
         .select(
             "vec_id",
             F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "uid").alias("component"),
+            F.when(F.col("p_uid").isNull(), F.col("vec_id"))
+            .otherwise(F.col("component_id"))
+            .alias("component_id"),
         )
-    )
-    least_ids = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    return (
-        named.join(least_ids, "component")
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
-        .select("vec_id", "n_links", "component_id", "kept")
     )
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)

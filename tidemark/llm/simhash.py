@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.blocks import WITHIN, dealt, runs, whole_parts
 from tidemark.llm.components import components
 from tidemark.llm.rows import col, field, packed, text_of
+from tidemark.session import shuffle_partitions
 from tidemark.workspace import write_table
 
 SHINGLE_WORDS = 4
@@ -145,21 +146,28 @@ def linked(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
                     [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
                 )
 
-    return dealt(_variants(prints, max_bits), "variant", "fp", block).mapInArrow(
-        links, "a long, b long"
-    )
+    # Few files hold the fingerprints; their variants are made by all tasks, once.
+    spread = prints.repartition(shuffle_partitions(prints.sparkSession))
+    variants, _ = write_table(_variants(spread, max_bits), "variants")
+    return dealt(variants, "variant", "fp", block).mapInArrow(links, "a long, b long")
 
 
 def _classes(prints: DataFrame, ids: str, max_bits: int) -> DataFrame:
-    """``(fp, component_id)`` for the distinct fingerprints of ``prints``."""
+    """``(class_fp, component_id)`` for the distinct fingerprints of ``prints``."""
     least = prints.groupBy("fp").agg(F.min(ids).alias("least"))
     distinct, _ = write_table(least, "fingerprints")
-    parts = components(linked(distinct.select("fp"), max_bits), "a", "b")
-    named = distinct.join(parts, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
+    links, _ = write_table(linked(distinct.select("fp"), max_bits), "links")
+    # A node is named so that the least of a component is the answer.
+    node = F.struct(F.col("least").isNull().alias("no_id"), "least", "fp")
+    ends = distinct.select("fp", node.alias("node"))
+    named = links.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
+    parts = components(named, "x", "y").select(
+        F.col("node.fp").alias("p_fp"), F.col("component.least").alias("p_least")
+    )
+    return distinct.join(parts, F.col("fp") == F.col("p_fp"), "left").select(
+        F.col("fp").alias("class_fp"),
+        F.when(F.col("p_fp").isNull(), F.col("least")).otherwise(F.col("p_least")).alias("component_id"),
     )
-    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return named.join(roots, "component").select(F.col("fp").alias("class_fp"), "component_id")
 
 
 def near_duplicates(

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,21 @@ def test_mix_of_odd_tables(spark):
     assert rows.columns == _docs(spark, []).columns
 
 
+def test_mix_permutes_rows_that_share_an_id(spark):
+    """4,000 rows without an id, half of them alike, stand all over the sequence."""
+    rows = [(None, "same text here" if i % 2 else f"text number {i}", "a") for i in range(4000)]
+    rows += [(7, f"other text {i}", "a") for i in range(2000)] + [(i, "w w w", "a") for i in range(2000)]
+    target = mixing.Target(budget=1.0, block_tokens=1000)
+    found = mixing.drawn(_docs(spark, rows), "doc_id", "text", "source", target).collect()
+    assert len(found) == 8000 and len({r.block_order for r in found}) == 8000
+    for kind in (None, 7):
+        blocks = [r.block for r in found if r.doc_id == kind]
+        assert len(set(blocks)) == 24 and max(map(blocks.count, set(blocks))) < 2 * len(blocks) / 24
+    assert sorted(r.position for r in found) == list(range(0, 24000, 3))
+    kept = mixing.drawn_rows(_docs(spark, rows), "doc_id", "text", "source", target).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t, _ in rows)
+
+
 # -- packing ------------------------------------------------------------------------
 
 
@@ -293,6 +309,41 @@ def test_licences_in_other_dress(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def _other_dress(text, rng):
+    """The same licence as others write it."""
+    text = re.sub(r"\b(sub)?license\b", r"\1licence", text)
+    text = "Copyright (c) 1999 A. Nobody\n" + text.replace('"', "''").replace("non-commercial", "noncommercial")
+    lines = [" " * rng.randrange(4) + "# " * rng.randrange(2) + line.strip() + "\t" for line in text.split("\n")]
+    return rng.choice(["\n", "\r\n", "\n\n"]).join(lines)
+
+
+def test_whole_licences_in_other_dress_inside_a_corpus(spark):
+    rng = random.Random(4)
+    files = {f.stem: f.read_text("utf-8") for f in sorted(licenses.FILES.glob("*.txt"))}
+    assert {"Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "BSD-3-Clause"} <= set(files)
+    rows, want = [], {}
+    for i, (name, text) in enumerate(files.items()):
+        rows += [(3 * i, _other_dress(text, rng), name), (3 * i + 1, text.upper(), name),
+                 (3 * i + 2, text.replace("conditions", "terms", 1) + "and more", name)]
+        want |= {3 * i: name, 3 * i + 1: name, 3 * i + 2: None}
+    rows += [(1000 + i, f"prose number {i}\nof no licence\n" * 40, "p") for i in range(50)]
+    want |= {1000 + i: None for i in range(50)}
+    found = licenses.scanned(_docs(spark, rows), "doc_id", "text").collect()
+    assert {r.doc_id: r.license for r in found} == want
+
+
+def test_licence_scan_of_odd_tables(spark):
+    assert licenses.scanned(_docs(spark, []), "doc_id", "text").count() == 0
+    known = spark.createDataFrame([("A", "my  terms"), ("B", "MY-TERMS"), ("C", None), ("D", " !")],
+                                  "license string, text string")
+    rows = [(1, "My terms.", "s"), (1, "My terms.", "s"), (None, "x\n my terms\ny", "s"), (2, "", "s")]
+    found = licenses.scanned(_docs(spark, rows), "doc_id", "text", known).collect()
+    assert sorted((str(r.doc_id), r.license, r.notices) for r in found) == [
+        ("1", "A", ["A"]), ("1", "A", ["A"]), ("2", None, []), ("None", None, ["A"])]
+    none = licenses.scanned(_docs(spark, rows), "doc_id", "text", known.limit(0)).collect()
+    assert {(r.license, tuple(r.notices)) for r in none} == {(None, ())}
+
+
 # -- pipeline ----------------------------------------------------------------------------------
 
 

@@ -2,11 +2,13 @@
 
 A text is made canonical by DataFrame functions alone: lower case, lines that state a
 copyright dropped, ASCII punctuation and white space as single spaces, equivalent
-spellings unified. The SHA-256 of the whole canonical text is looked up among the
-digests of known licence texts, which are made canonical by the same functions; so is
-each canonical line of it, among the digests of known one-line notices and licence tags.
-Known texts are a table of a few rows, broadcast. Lines are joined by their digest;
-texts stay where they are.
+spellings unified. The SHA-256 of the whole canonical text is joined to the digests of
+known licence texts, which are made canonical by the same functions; so is each canonical
+line of it, to find one-line notices and licence tags. Every document gives a row for its
+whole text and one for each line that can be as long as a known text; rows that join to
+nothing go, and what is left of a document is grouped by its number, most of it before
+the shuffle. Known texts are a table: whole licences from ``known_licenses`` and below,
+notices and tags. It is broadcast while its counted size allows.
 
 Defined cases. A null text counts as empty; an empty canonical text matches nothing.
 Only letters A-Z change case; other scripts stay as they are. Texts of any length are
@@ -18,13 +20,25 @@ name.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import col, text_of
+from tidemark.workspace import may_broadcast, write_table
 
-# Equivalent spellings, in canonical form; the first becomes the second.
+# Published equivalent spellings, as words of canonical texts; the first
+# becomes the second. Phrases come first.
 SPELLINGS = {
+    "copyright owner": "copyright holder",
+    "copyright owners": "copyright holders",
+    "non commercial": "noncommercial",
+    "per cent": "percent",
+    "sub licence": "sublicense",
+    "sub licences": "sublicenses",
+    "sub license": "sublicense",
+    "sub licenses": "sublicenses",
     "acknowledgement": "acknowledgment",
     "analogue": "analog",
     "analyse": "analyze",
@@ -33,39 +47,39 @@ SPELLINGS = {
     "authorised": "authorized",
     "calibre": "caliber",
     "cancelled": "canceled",
+    "capitalisations": "capitalizations",
+    "catalogue": "catalog",
+    "categorise": "categorize",
     "centre": "center",
+    "emphasised": "emphasized",
     "favour": "favor",
     "favourite": "favorite",
     "fulfil": "fulfill",
+    "fulfilment": "fulfillment",
+    "https": "http",
     "initialise": "initialize",
     "judgement": "judgment",
     "labelling": "labeling",
+    "labour": "labor",
     "licence": "license",
-    "licences": "licenses",
     "licenced": "licensed",
-    "merchantability": "merchantability",
+    "licences": "licenses",
+    "maximise": "maximize",
+    "modelled": "modeled",
     "modelling": "modeling",
-    "noncommercial": "non commercial",
+    "offence": "offense",
     "optimise": "optimize",
     "organisation": "organization",
     "organise": "organize",
     "practise": "practice",
     "programme": "program",
+    "realise": "realize",
     "recognise": "recognize",
     "signalling": "signaling",
     "sublicence": "sublicense",
     "utilisation": "utilization",
+    "whilst": "while",
     "wilful": "willful",
-    "https": "http",
-}
-
-# Phrases that have two spellings of more than one word.
-PHRASES = {
-    "sub license": "sublicense",
-    "sub licence": "sublicense",
-    "copyright owner": "copyright holder",
-    "copyright owners": "copyright holders",
-    "per cent": "percent",
 }
 
 # One-line notices of licences.
@@ -129,40 +143,60 @@ TEXTS = {
     ],
 }
 
-#: Known texts that one scan may look up.
-MOST_KNOWN = 10_000
+#: Whole texts that come as files, named by their licence.
+FILES = Path(__file__).with_name("known_licenses")
 
-_NOT_WORDS = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A line that states a copyright: the word or sign, then a year or a sign.
+CLAIM = r"^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|\(c\)|©)[^\n]*$"
+#: ASCII that is no letter, digit or line end.
+NO_WORDS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical_lines(text: Column) -> Column:
-    """The text in canonical form, its lines kept apart."""
-    lowered = F.translate(text_of(text), _UPPER, _LOWER)
-    # A line that states a copyright: the word or sign, then a year or "(c)".
-    claim = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|\(c\)|©)[^\n]*$"
+    """The lines of a text in canonical form, without empty ones."""
+    lowered = F.translate(text_of(text), UPPER, LOWER)
     claims = lowered.contains("copyright") | lowered.contains("(c)") | lowered.contains("©")
-    unclaimed = F.when(claims, F.regexp_replace(lowered, claim, "")).otherwise(lowered)
-    plain = F.regexp_replace(unclaimed, _NOT_WORDS, " ")
-    alike = {**PHRASES, **SPELLINGS}
-    found = r"(?<![^ \n])(" + "|".join(alike) + r")(?![^ \n])"
-    unified = plain
-    for name, other in alike.items():
-        unified = F.regexp_replace(unified, rf"(?<![^ \n]){name}(?![^ \n])", other)
-    return F.when(plain.rlike(found), unified).otherwise(plain)
+    unclaimed = F.when(claims, F.regexp_replace(lowered, f"(?dm){CLAIM}", "")).otherwise(lowered)
+    plain = F.regexp_replace(unclaimed, NO_WORDS, " ")
+    # Each word gets spaces of its own: neighbours can be replaced one after the other.
+    words = F.concat(
+        F.lit(" "), F.replace(F.replace(plain, F.lit(" "), F.lit("  ")), F.lit("\n"), F.lit(" \n ")), F.lit(" ")
+    )
+    for name, other in SPELLINGS.items():
+        words = F.replace(words, F.lit(f" {name.replace(' ', '  ')} "), F.lit(f" {other.replace(' ', '  ')} "))
+    lines = F.transform(F.split(F.replace(words, F.lit("  "), F.lit(" ")), "\n"), lambda x: F.trim(x))
+    return F.filter(lines, lambda x: x != "")
 
 
-def _whole(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+def _table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
+    entries = [F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
-def known_texts(spark: SparkSession) -> DataFrame:
-    """``license, text``: the built-in whole texts, notices and tags."""
-    rows = [(name, body) for name, (_, body) in TEXTS.items()]
+def known_rows() -> list[tuple[str, str]]:
+    """``(license, text)``: whole texts, without and with titles; notices; tags."""
+    rows = [(path.stem, path.read_text("utf-8")) for path in sorted(FILES.glob("*.txt"))]
+    rows += [(name, body) for name, (_, body) in TEXTS.items()]
     rows += [(name, title + body) for name, (title, body) in TEXTS.items()]
     rows += [(name, notice) for notice, name in NOTICES.items()]
-    rows += [(n, f"SPDX-License-Identifier: {n}") for n in sorted({*TEXTS, *NOTICES.values()})]
-    return spark.createDataFrame(rows, "license string, text string")
+    names = sorted({name for name, _ in rows})
+    return rows + [(n, f"SPDX-License-Identifier: {n}") for n in names]
+
+
+def known_texts(spark: SparkSession) -> DataFrame:
+    return _table(spark, known_rows())
+
+
+def _digests(known: DataFrame) -> DataFrame:
+    """``digest, license, chars`` of the known texts, written."""
+    table = (
+        known.select("license", F.array_join(canonical_lines(F.col("text")), " ").alias("text"))
+        .where("text <> ''")
+        .groupBy(F.sha2("text", 256).alias("digest"))
+        .agg(F.min("license").alias("license"), F.max(F.char_length("text")).alias("chars"))
+    )
+    return write_table(table, "licenses")[0]
 
 
 def scanned(
@@ -171,43 +205,45 @@ def scanned(
     """One row per document: ``doc_id, canonical_sha256, license, notices``.
 
     ``license`` is that of the whole text, the first by name if several share it;
-    ``notices`` are the sorted licences of the document's lines.
+    ``notices`` are the sorted licences of the document's lines. ``known`` has
+    ``license, text``.
     """
-    known = known_texts(df.sparkSession) if known is None else known
-    table = (
-        known.select("license", _whole(canonical_lines(F.col("text"))).alias("text"))
-        .where("text <> ''")
-        .groupBy(F.sha2("text", 256).alias("digest"))
-        .agg(F.min("license").alias("license"), F.max(F.length("text")).alias("chars"))
-    )
-    # Known texts are bounded by their own table, not by the documents.
-    entries = table.limit(MOST_KNOWN + 1).collect()
-    if len(entries) > MOST_KNOWN:
-        raise ValueError(f"more than {MOST_KNOWN} known texts")
-    digests = df.sparkSession.createDataFrame(
-        [(e.digest, e.license) for e in entries], "known_digest string, license string"
-    )
+    digests = _digests(known_texts(df.sparkSession) if known is None else known)
+    n, least, most = digests.agg(
+        F.count("*"), F.coalesce(F.min("chars"), F.lit(1)), F.coalesce(F.max("chars"), F.lit(0))
+    ).first()
+    known_rows = digests.select(F.col("digest").alias("known_digest"), "license")
+    if may_broadcast(n, 200):
+        known_rows = F.broadcast(known_rows)
+    fitting = F.filter("lines", lambda x: F.char_length(x).between(least, most))
     rows = df.select(
-        col(id_column).alias("doc_id"), canonical_lines(col(text_column)).alias("lines")
-    ).select(
+        F.monotonically_increasing_id().alias("uid"),
+        col(id_column).alias("doc_id"),
+        canonical_lines(col(text_column)).alias("lines"),
+    ).select("uid", "doc_id", F.array_join("lines", " ").alias("whole"), fitting.alias("lines"))
+    looked_up = rows.select(
+        "uid",
         "doc_id",
-        F.sha2(_whole(F.col("lines")), 256).alias("canonical_sha256"),
-        _notices(F.col("lines"), entries).alias("notices"),
-    )
-    return rows.join(
-        F.broadcast(digests), F.col("canonical_sha256") == F.col("known_digest"), "left"
-    ).select("doc_id", "canonical_sha256", "license", "notices")
-
-
-def _notices(lines: Column, entries: list) -> Column:
-    """Sorted licences of the lines that are known texts."""
-    if not entries:
-        return F.array().cast("array<string>")
-    least, most = min(e.chars for e in entries), max(e.chars for e in entries)
-    # A line is hashed only where a known text can be as long.
-    fitting = F.filter(
-        F.transform(F.split(lines, "\n"), lambda x: F.trim(x)), lambda x: F.length(x).between(least, most)
+        F.inline(
+            F.concat(
+                F.array(F.struct(F.sha2("whole", 256).alias("digest"), F.lit(True).alias("is_whole"))),
+                F.transform(
+                    F.array_distinct("lines"),
+                    lambda x: F.struct(F.sha2(x, 256).alias("digest"), F.lit(False).alias("is_whole")),
+                ),
+            )
+        ),
+    ).join(known_rows, F.col("digest") == F.col("known_digest"), "left")
+    told = looked_up.where(F.col("is_whole") | F.col("license").isNotNull())
+    return (
+        told.groupBy("uid")
+        .agg(
+            F.first("doc_id").alias("doc_id"),
+            F.max(F.when(F.col("is_whole"), F.col("digest"))).alias("canonical_sha256"),
+            F.max(F.when(F.col("is_whole"), F.col("license"))).alias("license"),
+            F.sort_array(
+                F.collect_set(F.when(~F.col("is_whole"), F.col("license")))
+            ).alias("notices"),
+        )
+        .drop("uid")
     )
-    by_digest = F.create_map(*[F.lit(v) for e in entries for v in (e.digest, e.license)])
-    found = F.transform(fitting, lambda x: F.try_element_at(by_digest, F.sha2(x, 256)))
-    return F.array_sort(F.array_distinct(F.array_compact(found)))

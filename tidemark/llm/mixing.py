@@ -15,9 +15,9 @@ sequence falls into, and has a random place there (``block_order``).
 
 Defined cases. A null source is a source of its own. A null or empty text has no tokens;
 its document is drawn where its position lies below the budget. A source without tokens
-has weight zero and is not drawn. A null id is ordered like the text ``null``; rows with
-equal id are ordered by a hash of the text, and equal rows get positions one after the
-other in either order. A budget beyond ``max_repeats`` times the corpus cannot be met:
+has weight zero and is not drawn. The order hashes the epoch, the id and a digest of the
+text, so rows that share an id are permuted like others; equal rows are told apart by the
+order in which they were written. Rows without an id are named by that order. A budget beyond ``max_repeats`` times the corpus cannot be met:
 ``ValueError``. Without any tokens no rows come out. Texts of any length count whole.
 Extra columns may have any name.
 """
@@ -108,7 +108,7 @@ def _key(*parts: Column) -> Column:
 
 
 def mixed(rows: DataFrame, target: Target, seed: int = SEED) -> DataFrame:
-    """Draw rows ``source, id, tokens`` with whatever else they carry.
+    """Draw rows ``uid, source, id, tokens, digest`` of a written table.
 
     Adds ``epoch``, ``position`` (tokens of the source's sequence before the copy),
     ``block`` and ``block_order``; a row comes out once per epoch that draws it.
@@ -143,15 +143,18 @@ def mixed(rows: DataFrame, target: Target, seed: int = SEED) -> DataFrame:
         .drop("key")
         .withColumn("epoch", F.explode(epochs))
     )
-    name = F.coalesce(F.col("id").cast("string"), F.lit("null"))
-    ordered = copies.withColumn(
-        "order_key", _key(F.lit(str(seed)), F.col("epoch").cast("string"), name)
-    ).withColumn("id_name", name)
+    name = F.coalesce(
+        F.col("id").cast("string"), F.concat(F.lit("null/"), F.col("uid").cast("string"))
+    )
+    named = [F.col("epoch").cast("string"), F.col("id_name"), F.col("digest")]
+    ordered = copies.withColumn("id_name", name).withColumn(
+        "order_key", _key(F.lit(str(seed)), *named)
+    )
     placed = before(
         ordered,
         ["source_key", "epoch"],
         "order_key",
-        ["id_name", "tie"],
+        ["id_name", "digest", "uid"],
         "tokens",
         "source_docs",
     )
@@ -161,10 +164,7 @@ def mixed(rows: DataFrame, target: Target, seed: int = SEED) -> DataFrame:
         placed.withColumn("position", position)
         .where(F.col("position") < F.col("source_budget"))
         .withColumn("block", F.floor(F.col("position") / per_block))
-        .withColumn(
-            "block_order",
-            _key(F.lit(f"{seed}b"), F.col("epoch").cast("string"), F.col("id_name")),
-        )
+        .withColumn("block_order", _key(F.lit(f"{seed}b"), *named))
         .drop(
             "source_key", "weight", "source_tokens", "source_docs", "source_budget",
             "order_key", "id_name", "before",
@@ -172,15 +172,22 @@ def mixed(rows: DataFrame, target: Target, seed: int = SEED) -> DataFrame:
     )
 
 
+def _narrow(rows: DataFrame, uid: Column, source: Column, id_: Column, text: Column) -> DataFrame:
+    return rows.select(
+        uid.alias("uid"),
+        source.alias("source"),
+        id_.alias("id"),
+        word_count(text).alias("tokens"),
+        F.md5(text_of(text)).alias("digest"),
+    )
+
+
 def drawn(
     df: DataFrame, id_column: str, text_column: str, source_column: str, target: Target = Target()
 ) -> DataFrame:
     """``doc_id, source, n_tokens, epoch, position, block, block_order`` of every copy."""
-    narrow = df.select(
-        col(source_column).alias("source"),
-        col(id_column).alias("id"),
-        word_count(col(text_column)).alias("tokens"),
-        F.xxhash64(text_of(col(text_column))).alias("tie"),
+    narrow = _narrow(
+        df, F.monotonically_increasing_id(), col(source_column), col(id_column), col(text_column)
     )
     rows, _ = write_table(narrow, "tokens")
     return mixed(rows, target).select(
@@ -192,13 +199,22 @@ def drawn(
 def drawn_rows(
     df: DataFrame, id_column: str, text_column: str, source_column: str, target: Target = Target()
 ) -> DataFrame:
-    """The rows of ``df`` that the mix draws, all columns kept, once per copy."""
-    rows = packed(df).select(
-        field(source_column).alias("source"),
-        field(id_column).alias("id"),
-        word_count(field(text_column)).alias("tokens"),
-        F.xxhash64(text_of(field(text_column))).alias("tie"),
-        "row",
-    )
-    return mixed(rows, target).select("row.*")
+    """The rows of ``df`` that the mix draws, all columns kept, once per copy.
 
+    Rows are drawn by number; whole rows meet their numbers in one join.
+    """
+    whole, _ = write_table(
+        packed(df).withColumn("uid", F.monotonically_increasing_id()), "rows"
+    )
+    narrow = _narrow(
+        whole, F.col("uid"), field(source_column), field(id_column), field(text_column)
+    )
+    rows, _ = write_table(narrow, "tokens")
+    copies = mixed(rows, target).groupBy(F.col("uid").alias("d_uid")).agg(
+        F.count("*").cast("int").alias("copies")
+    )
+    return (
+        whole.join(copies, F.col("uid") == F.col("d_uid"))
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+        .select("row.*")
+    )

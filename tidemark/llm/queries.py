@@ -57,7 +57,8 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scanned(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = licenses.scanned(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumn("notices", F.array_join("notices", ","))
 
 
 def op6_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +159,7 @@ QUERIES = {
 #: The mix: the exponent by 30 steps of bisection, budgets, permutations, prefix sums.
 _MIX = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
   FROM documents),
 s AS MATERIALIZED (SELECT source, CAST(sum(tokens) AS BIGINT) AS n FROM d GROUP BY 1 HAVING sum(tokens) > 0),
@@ -179,7 +180,7 @@ w AS MATERIALIZED (
 p AS MATERIALIZED (SELECT *, CAST(floor(weight * total) AS BIGINT) AS budget FROM w),
 c AS (
   SELECT d.*, n, weight, budget, e.epoch,
-         CAST('0x' || substr(md5(concat_ws('/', '11', e.epoch, d.doc_id)), 1, 15) AS BIGINT) AS key
+         CAST('0x' || substr(md5(concat_ws('/', '11', e.epoch, d.doc_id, d.digest)), 1, 15) AS BIGINT) AS key
   FROM d JOIN p USING (source), range(0, 6) e(epoch) WHERE e.epoch <= budget // n),
 q AS (
   SELECT *, epoch * n + CAST(coalesce(sum(tokens) OVER (
@@ -188,9 +189,32 @@ q AS (
   FROM c)
 SELECT doc_id, source, tokens AS n_tokens, epoch, position,
        CAST(floor(position / (weight * 65536.0::DOUBLE)) AS BIGINT) AS block,
-       CAST('0x' || substr(md5(concat_ws('/', '11b', epoch, doc_id)), 1, 15) AS BIGINT) AS block_order
+       CAST('0x' || substr(md5(concat_ws('/', '11b', epoch, doc_id, digest)), 1, 15) AS BIGINT) AS block_order
 FROM q WHERE position < budget"""
 
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical lines of a text, as the scan of licences makes them."""
+    words = (
+        f"regexp_replace(regexp_replace(translate(coalesce({text}, ''), '{licenses.UPPER}', "
+        f"'{licenses.LOWER}'), '(?m){licenses.CLAIM}', '', 'g'), '{licenses.NO_WORDS}', ' ', 'g')"
+    )
+    words = f"' ' || replace(replace({words}, ' ', '  '), chr(10), ' ' || chr(10) || ' ') || ' '"
+    for name, other in licenses.SPELLINGS.items():
+        wide = (w.replace(" ", "  ") for w in (name, other))
+        words = "replace({}, ' {} ', ' {} ')".format(words, *wide)
+    lines = f"string_split(replace({words}, '  ', ' '), chr(10))"
+    return f"list_filter(list_transform({lines}, lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _known_sql() -> str:
+    """The known texts as the rows of a VALUES list."""
+    rows = licenses.known_rows()
+    quoted = [tuple(v.replace("'", "''") for v in row) for row in rows]
+    return ", ".join(f"('{name}', '{text}')" for name, text in quoted)
+
+
 #: What the chat template escapes: a control string, or one with backslashes inside.
 _MARK = r"<\\*/?s>|\[\\*(?:/?(?:INST|SYS|ROLE)|/TURN)\]"
 
@@ -205,6 +229,19 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM k""",
+    "op5_license_digests": f"""
+WITH k AS (
+  SELECT license, {_canonical_sql("text")} AS lines FROM (VALUES {_known_sql()}) v(license, text)),
+g AS MATERIALIZED (
+  SELECT array_to_string(lines, ' ') AS canon, min(license) AS license FROM k WHERE len(lines) > 0 GROUP BY 1),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id, {_canonical_sql("text")} AS lines FROM documents),
+l AS (
+  SELECT n, list(DISTINCT g.license ORDER BY g.license) AS notices
+  FROM (SELECT n, unnest(lines) AS canon FROM d) JOIN g USING (canon) GROUP BY 1)
+SELECT d.doc_id, sha256(array_to_string(d.lines, ' ')) AS canonical_sha256, g.license,
+       coalesce(array_to_string(l.notices, ','), '') AS notices
+FROM d LEFT JOIN g ON g.canon = array_to_string(d.lines, ' ') LEFT JOIN l USING (n)""",
     "op6_exact_owners": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents)

@@ -245,6 +245,16 @@ def changelog_materialize(spark, sf_dir):
     return hot_urls.current_ranking(hot_urls_revised(spark, sf_dir))
 
 
+def topn_retract_changelog(spark, sf_dir):
+    """The ranking's change rows, from its first firing to its last."""
+    return hot_urls.ranking_retracts(hot_urls_revised(spark, sf_dir))
+
+
+def topn_retract_materialize(spark, sf_dir):
+    """The ranking's change rows folded back into the table of rankings."""
+    return hot_urls.folded_ranking(topn_retract_changelog(spark, sf_dir))
+
+
 def pv_retract_changelog(spark, sf_dir):
     partials = page_views.table_partials(
         _views(spark, sf_dir, "event_id"), salt=_numbered_salt(F.col("behavior"))
@@ -493,6 +503,8 @@ _QUERIES = [
     hot_urls_labelled,
     hot_urls_revised,
     changelog_materialize,
+    topn_retract_changelog,
+    topn_retract_materialize,
     pv_retract_changelog,
     pv_retract_materialize,
     hot_items_report,
@@ -756,6 +768,19 @@ def _batch_sql() -> dict[str, str]:
         + """SELECT *, 1 AS version FROM v1 UNION ALL
              SELECT *, 2 FROM v2 WHERE window_end IN (SELECT window_end FROM ch)""",
         "changelog_materialize": _LATENESS + "SELECT * FROM v2",
+        "topn_retract_changelog": _LATENESS
+        + """, w AS (
+  SELECT o.window_end AS o_end, coalesce(o.window_end, n.window_end) AS window_end,
+         coalesce(o.rk, n.rk) AS rk, o.url AS o_url, o."count" AS o_count, n.url, n."count",
+         n.window_end AS n_end
+  FROM (SELECT * FROM v1 WHERE window_end IN (SELECT window_end FROM ch)) o
+  FULL JOIN (SELECT * FROM v2 WHERE window_end IN (SELECT window_end FROM ch)) n
+    ON o.window_end = n.window_end AND o.rk = n.rk
+  WHERE o.url IS DISTINCT FROM n.url OR o."count" IS DISTINCT FROM n."count")
+SELECT true AS is_add, window_end, rk, url, "count", 3 AS seq FROM v1
+UNION ALL SELECT false, window_end, rk, o_url, o_count, 4 FROM w WHERE o_end IS NOT NULL
+UNION ALL SELECT true, window_end, rk, url, "count", 5 FROM w WHERE n_end IS NOT NULL""",
+        "topn_retract_materialize": _LATENESS + "SELECT * FROM v2",
         "pv_retract_changelog": _BASE + _PARTIALS + "SELECT * FROM c",
         "pv_retract_materialize": _TABLE_TOTALS,
         "hot_items_report": _ITEMS

@@ -193,3 +193,39 @@ def test_latest_never_mixes_revisions_and_drops_retracted(spark):
     )
     got = changelog.latest(history, ["endtime1", "rk"], "version", is_add="is_add")
     assert [tuple(r) for r in got.collect()] == [(1, 1, "a", 9)]
+
+
+def test_ranking_changes_fold_back_at_every_version(spark):
+    rng = random.Random(12)
+    history = []
+    for window in range(12):
+        for version in range(1, rng.randrange(2, 6)):
+            size = rng.randrange(1, 5)
+            history += [(window, version, rk, rng.choice("ab"), rng.randrange(3)) for rk in range(1, size + 1)]
+    df = spark.createDataFrame(history, "window_end long, version int, rk int, url string, count long")
+    changes = [
+        (r.seq, r.window_end, r.rk, r.is_add, (r.url, r["count"]))
+        for r in changelog.ranking_changes(df, ["url", "count"]).collect()
+    ]
+    assert any(not c[3] for c in changes)
+    table, versions = {}, {}
+    for window, version, rk, url, count in history:
+        versions.setdefault((window, version), {})[rk] = (url, count)
+    for version in range(1, 6):
+        for seq, window, rk, is_add, value in sorted(c for c in changes if c[0] // 2 == version):
+            if is_add:
+                assert (window, rk) not in table
+                table[window, rk] = value
+            else:
+                assert table.pop((window, rk)) == value
+        for window in range(12):
+            if (window, version) in versions:
+                assert {rk: v for (w, rk), v in table.items() if w == window} == versions[window, version]
+    # What stays as it is gives no rows.
+    same = spark.createDataFrame([(1, v, 1, "a", 5) for v in (1, 2, 3)], df.schema)
+    assert changelog.ranking_changes(same, ["url", "count"]).count() == 1
+
+
+def test_ranking_changes_of_nothing(spark):
+    empty = spark.createDataFrame([], "window_end long, version int, rk int, url string, count long")
+    assert changelog.ranking_changes(empty, ["url", "count"]).count() == 0

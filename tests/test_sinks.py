@@ -1,11 +1,15 @@
+import dataclasses
+import os
 import sqlite3
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.functions import reports
+from tidemark.schemas import UPSERT_ROW
 from tidemark.sinks.text import labelled, record_text, write_text
-from tidemark.sinks.upsert import UpsertTarget, checked_rows, upsert, upsert_batches
+from tidemark.sinks.upsert import UpsertTarget, checked_rows, flushes, upsert, upsert_batches
 
 ROWS = "endtime1 long, rk int, url2 string, counts2 long"
 
@@ -15,9 +19,10 @@ def target(tmp_path):
     path = str(tmp_path / "out.db")
     with sqlite3.connect(path) as db:
         db.execute(
-            "CREATE TABLE url_ranks (endtime1 BIGINT NOT NULL, rk INT NOT NULL,"
-            " url2 VARCHAR(256) NOT NULL, counts2 BIGINT NOT NULL,"
-            " PRIMARY KEY (endtime1, rk))"
+            "CREATE TABLE url_ranks ({}, PRIMARY KEY ({}))".format(
+                ", ".join(f"{f.name} {f.dataType.simpleString()} NOT NULL" for f in UPSERT_ROW),
+                ", ".join(UPSERT_ROW.names[:2]),
+            )
         )
 
     def connect():
@@ -54,6 +59,103 @@ def test_ranks_past_a_shorter_revision_go(spark, target):
     assert table() == shorter + [row for row in ranks if row[0] == 30]
 
 
+WINDOWS = [(w, r, f"/{w}/{r}", 9 - r) for w in range(1, 41) for r in range(1, 4)]
+
+
+def breaking(connect, folder, failing):
+    """Connections that break in mid-chunk, at the ``failing`` statements over all tasks."""
+
+    def next_statement():
+        number = 0
+        while True:  # a file per statement: counted across processes
+            try:
+                open(os.path.join(folder, str(number)), "x").close()
+                break
+            except FileExistsError:
+                number += 1
+        if number in failing:
+            raise OSError(f"the connection broke at statement {number}")
+
+    class Cursor:
+        def __init__(self, cursor):
+            self.execute, self.fetchone = cursor.execute, cursor.fetchone
+            self._many = cursor.executemany
+
+        def executemany(self, statement, rows):
+            rows = list(rows)
+            self._many(statement, rows[: len(rows) // 2])
+            next_statement()
+            self._many(statement, rows[len(rows) // 2 :])
+
+    class Connection:
+        def __init__(self):
+            own = connect()
+            self.cursor = lambda: Cursor(own.cursor())
+            self.commit, self.rollback, self.close = own.commit, own.rollback, own.close
+
+    return Connection
+
+
+@pytest.mark.parametrize("attempts", [3, 1])
+def test_connections_that_break_leave_the_same_table(spark, target, tmp_path, attempts):
+    """With retries the task goes on; without, the batch fails and is delivered again."""
+    to, table = target
+    counted = tmp_path / "statements"
+    counted.mkdir()
+    connect, failing, folder = to.connect, {1, 4, 5, 11}, str(counted)
+    broken = dataclasses.replace(
+        to, connect=breaking(connect, folder, failing), attempts=attempts,
+        wait_seconds=0.01, ledger="ledger", writers=2,
+    )
+    with connect() as db:
+        db.execute(broken.ledger_ddl())
+    handle = upsert_batches(broken)
+    rows = spark.createDataFrame(WINDOWS, ROWS)
+    handle_failed = 0
+    for _ in range(6):
+        try:
+            handle(rows, 7)
+            break
+        except Exception:
+            handle_failed += 1
+            # Whole windows only, whatever has been committed so far.
+            assert all(sum(r[0] == w for r in table()) in (0, 3) for w in range(1, 41))
+    assert table() == WINDOWS and (handle_failed > 0) == (attempts == 1)
+    with connect() as db:
+        assert {r[1:] for r in db.execute("SELECT * FROM ledger")} == {(7, 1)}
+    # A batch that is complete is not written again.
+    before = len(os.listdir(folder))
+    handle(rows, 7)
+    assert len(os.listdir(folder)) == before and table() == WINDOWS
+
+
+def test_an_older_batch_cannot_write_over_a_newer_one(spark, target):
+    to, table = target
+    to = dataclasses.replace(to, ledger="ledger", attempts=1)
+    with to.connect() as db:
+        db.execute(to.ledger_ddl())
+    upsert(spark.createDataFrame(WINDOWS, ROWS), to, 5)
+    older = spark.createDataFrame([(w, 1, "/old", 0) for w in range(1, 41)], ROWS)
+    with pytest.raises(Exception, match="comes after a newer one"):
+        upsert(older, to, 4)
+    assert table() == WINDOWS
+    upsert(older, to, 6)
+    assert table() == [(w, 1, "/old", 0) for w in range(1, 41)]
+
+
+def test_flushes_by_rows_and_by_time():
+    clock = iter(range(1000))
+    rows = [Row(endtime1=w, rk=r) for w in range(6) for r in range(3)]
+    by_rows = [len(f) for f in flushes(rows, 4, 1e9, lambda: 0.0)]
+    assert by_rows == [6, 6, 6]  # four rows are reached within the second window
+    assert [len(f) for f in flushes(rows, 100, 1e9, lambda: 0.0)] == [18]
+    assert [len(f) for f in flushes(rows, 100, 2.0, lambda: 0.0)] == [18]
+    # The clock goes on by one at each look: every second window boundary is two later.
+    by_time = [len(f) for f in flushes(rows, 100, 2.0, lambda: next(clock))]
+    assert by_time == [6, 6, 6]
+    assert list(flushes([], 4, 1.0)) == []
+
+
 @pytest.mark.parametrize(
     "row", [(10, 1, None, 1), (None, 1, "/a", 1), (10, None, "/a", 1), (10, 1, "/a", None),
             (10, 1, "x" * 257, 1)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -58,6 +58,53 @@ def to_retract(
     return before.select(key, F.inline(pair)).select("is_add", value, key, "seq")
 
 
+def ranking_changes(
+    history: DataFrame,
+    values: Sequence[str],
+    *,
+    key: str = "window_end",
+    rank: str = "rk",
+    version: str = "version",
+) -> DataFrame:
+    """Change rows between the successive versions of each key's ranking.
+
+    ``history`` holds whole rankings; a key's versions are numbered from 1 on. A rank
+    that comes is an addition, one whose ``values`` change takes the old row back
+    (``is_add`` false) and adds the new one, one that vanishes is taken back, and one
+    that stays as it is gives nothing. ``seq`` orders the changes of a rank.
+    """
+    of_rank = Window.partitionBy(key, rank).orderBy(version)
+    row = F.struct(*values)
+    compared = history.select(
+        key,
+        rank,
+        version,
+        row.alias("_row"),
+        F.lag(row).over(of_rank).alias("_before"),
+        F.lag(version).over(of_rank).alias("_came"),
+        F.lead(version).over(of_rank).alias("_next"),
+        F.max(version).over(Window.partitionBy(key)).alias("_last"),
+    )
+    follows = F.col("_came").eqNullSafe(F.col(version) - 1)
+    same = follows & F.col("_row").eqNullSafe(F.col("_before"))
+    vanishes = (F.col(version) < F.col("_last")) & ~F.col("_next").eqNullSafe(F.col(version) + 1)
+
+    def change(is_add: bool, of: str, when: Column) -> Column:
+        seq = 2 * when + (1 if is_add else 0)
+        return F.struct(
+            F.lit(is_add).alias("is_add"), seq.cast("int").alias("seq"), F.col(of).alias("_value")
+        )
+
+    changes = F.concat(
+        F.when(follows & ~same, F.array(change(False, "_before", F.col(version)))).otherwise(F.array()),
+        F.when(~same, F.array(change(True, "_row", F.col(version)))).otherwise(F.array()),
+        F.when(vanishes, F.array(change(False, "_row", F.col(version) + 1))).otherwise(F.array()),
+    )
+    return compared.select(key, rank, F.inline(changes)).select(
+        "is_add", key, rank, "_value.*", "seq"
+    )
+
+
 def latest(
     history: DataFrame,
     keys: Sequence[str],

@@ -15,7 +15,7 @@ from ..functions.clock import minutes, seconds
 from ..functions.event_time import access_log_time, get_requests, rowtime
 from ..functions.parsing import parse_access_log
 from ..functions.reports import url_report
-from ..operators.changelog import latest
+from ..operators.changelog import latest, ranking_changes
 from ..operators.lateness import (
     Gates,
     LatenessRule,
@@ -120,6 +120,16 @@ def labelled_outputs(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
     )
 
 
+def ranking_retracts(history: DataFrame) -> DataFrame:
+    """The ranking as change rows: what each firing takes back and adds."""
+    return ranking_changes(history, ["url", "count"])
+
+
+def folded_ranking(changes: DataFrame) -> DataFrame:
+    """Change rows folded back into the table they describe."""
+    return latest(changes, ["window_end", "rk"], "seq", is_add="is_add")
+
+
 def current_ranking(history: DataFrame) -> DataFrame:
     return latest(history, ["window_end", "rk"], "version")
 

@@ -18,6 +18,7 @@ from tidemark.functions import event_time, parsing, reports, salts  # noqa: E402
 from tidemark.operators import changelog, lateness, topn  # noqa: E402
 from tidemark.plans import hot_items, hot_urls, page_views  # noqa: E402
 from tidemark.schemas import REPORTS, UPSERT_ROW  # noqa: E402
+from tidemark.sinks.ordered_text import lines_in_order, write_in_order  # noqa: E402
 from tidemark.sinks.text import labelled, record_text  # noqa: E402
 from tidemark.sinks.upsert import checked_rows  # noqa: E402
 from tidemark.sources import events as ev  # noqa: E402
@@ -285,6 +286,21 @@ def pv_report(spark, sf_dir):
     return reports.pv_report(pv_salted_total(spark, sf_dir))
 
 
+def _printed(reported, spark):
+    """Reports printed in the order of their windows, read back line by line."""
+    path = new_folder(spark, "printed")
+    write_in_order(reported.withColumn("value", F.col("report")), path, ["window_end"])
+    return lines_in_order(spark, path)
+
+
+def hot_items_report_text(spark, sf_dir):
+    return _printed(hot_items_report(spark, sf_dir), spark)
+
+
+def pv_report_text(spark, sf_dir):
+    return _printed(pv_report(spark, sf_dir), spark)
+
+
 # -- streams: run over all of events, then read back ---------------------------
 
 
@@ -510,6 +526,8 @@ _QUERIES = [
     hot_items_report,
     hot_urls_report,
     pv_report,
+    hot_items_report_text,
+    pv_report_text,
     hot_items_stream,
     hot_items_report_stream,
     pv_report_stream,
@@ -702,6 +720,10 @@ def _own_sql() -> dict[str, str]:
     found = _batch_sql()
     for name in ("hot_items_report", "pv_report"):
         found[f"{name}_stream"] = found[name]
+        found[f"{name}_text"] = f"""
+SELECT row_number() OVER (ORDER BY window_end, i) AS line_number, line
+FROM (SELECT window_end, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+      FROM (SELECT window_end, string_split(report, chr(10)) AS lines FROM ({found[name]})))"""
     return found
 
 

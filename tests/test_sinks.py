@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import reports
 from tidemark.schemas import UPSERT_ROW
+from tidemark.sinks.ordered_text import (
+    files_in_order,
+    lines_in_order,
+    ordered_text_batches,
+    write_in_order,
+)
 from tidemark.sinks.text import labelled, record_text, write_text
 from tidemark.sinks.upsert import UpsertTarget, checked_rows, flushes, upsert, upsert_batches
 
@@ -246,3 +252,65 @@ def test_text_of_a_stream_is_whole(spark, tmp_path):
     handle(spark.read.text(str(folder / "1.txt")), 1)  # a batch delivered twice
     got = spark.read.text(str(tmp_path / "out") + "/*").collect()
     assert len(got) == 500
+
+
+def _joined(spark, path):
+    text = ""
+    for name in files_in_order(spark, path):
+        with open(name.removeprefix("file:"), encoding="utf-8") as part:
+            text += part.read()
+    return text
+
+
+def test_files_joined_in_order_are_the_sorted_text(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(w, f"window {w}\nsecond line\n") for w in range(500)]
+    df = spark.createDataFrame(rows, "window_end long, value string").repartition(7)
+    write_in_order(df.where("window_end < 300"), path, ["window_end"], 9)
+    handle = ordered_text_batches(path, ["window_end"])
+    handle(df.where("window_end >= 400"), 11)
+    handle(df.where("window_end between 300 and 350"), 10)
+    handle(df.where("window_end between 300 and 399"), 10)  # run again
+    want = "".join(v + "\n" for _, v in rows)
+    assert _joined(spark, path) == want
+    assert len(files_in_order(spark, path)) > 6  # no task wrote it all
+    lines = sorted((r.line_number, r.line) for r in lines_in_order(spark, path).collect())
+    assert lines == list(enumerate(want.splitlines(), 1))
+
+
+def test_a_batch_without_manifest_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "out")
+    assert files_in_order(spark, path) == [] and lines_in_order(spark, path).count() == 0
+    df = spark.createDataFrame([(1, "a")], "window_end long, value string")
+    write_in_order(df, path, ["window_end"], 0)
+    write_text(df, f"{path}/batch_id=1")  # its task died before the manifest
+    assert _joined(spark, path) == "a\n"
+    write_in_order(df.where("window_end > 1"), path, ["window_end"], 2)  # an empty batch
+    assert _joined(spark, path) == "a\n"
+
+
+def test_reports_of_a_stream_are_printed_in_window_order(spark, tmp_path):
+    from tidemark.functions.parsing import parse_behavior
+    from tidemark.plans import hot_items
+    from tidemark.sources.lines import read_lines
+    from tidemark.streaming.end_of_input import END_BEHAVIOR_LINE
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(3):
+        lines = [f"1,{k % 4},1,pv,{1_704_067_200 + i * 4000 + k * 100}" for k in range(40)]
+        (folder / f"{i}.txt").write_text("\n".join(lines) + "\n")
+        os.utime(folder / f"{i}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    (folder / "3.txt").write_text(END_BEHAVIOR_LINE + "\n")
+    path = str(tmp_path / "out")
+    printed = ordered_text_batches(
+        path, ["window_end"],
+        lambda batch: hot_items.report_batch()(batch).withColumn("value", F.col("report")),
+    )
+    hot_items.start_hot_items(
+        parse_behavior(read_lines(spark, str(folder), streaming=True, maxFilesPerTrigger=1)),
+        printed, str(tmp_path / "cp"),
+    ).awaitTermination()
+    whole = hot_items.hot_items_report(spark, str(folder)).orderBy("window_end").collect()
+    assert _joined(spark, path) == "".join(r.report + "\n" for r in whole) and len(whole) > 20
+    assert len({f.split("/")[-2] for f in files_in_order(spark, path)}) > 2

@@ -24,6 +24,7 @@ from tidemark.sinks.upsert import checked_rows  # noqa: E402
 from tidemark.sources import events as ev  # noqa: E402
 from tidemark.streaming.batch_log import BatchLog  # noqa: E402
 from tidemark.streaming.end_of_input import BoundedInput  # noqa: E402
+from tidemark.streaming.open_state import open_windows, watermark_ms  # noqa: E402
 from tidemark.streaming.run import into_log  # noqa: E402
 from tidemark.workspace import date_files, new_folder, write_table  # noqa: E402
 
@@ -449,6 +450,19 @@ def hot_urls_late_output_stream(spark, sf_dir):
     return late.select("event_id", "url", F.unix_millis("ts").alias("event_ms"))
 
 
+def open_windows_stream(spark, sf_dir):
+    """What a stopped job still holds: windows open to late rows, and their counts."""
+    rows = ev.as_access_log(_in_files(spark, sf_dir), "ts")
+    folder = new_folder(spark, "stream")
+    job = hot_urls.late_job(spark, folder, rows.schema)
+    records = event_time.with_event_time(rows, F.col("ts"), job.delay)
+    query = hot_urls.start_hot_urls_late(records, job, f"{folder}/checkpoint", timed=True)
+    query.awaitTermination()
+    return open_windows(
+        spark, f"{folder}/checkpoint", "url string", job.rule.size, job.rule.slide, watermark_ms(query)
+    )
+
+
 def pv_stream(spark, sf_dir):
     bounded, records = _behavior_stream(spark, sf_dir)
     return _run(
@@ -536,6 +550,7 @@ _QUERIES = [
     hot_urls_late_stream,
     hot_urls_firings_stream,
     hot_urls_late_output_stream,
+    open_windows_stream,
     pv_stream,
     pv_changes_stream,
 ]
@@ -790,6 +805,11 @@ def _batch_sql() -> dict[str, str]:
         + """SELECT *, 1 AS version FROM v1 UNION ALL
              SELECT *, 2 FROM v2 WHERE window_end IN (SELECT window_end FROM ch)""",
         "changelog_materialize": _LATENESS + "SELECT * FROM v2",
+        "open_windows_stream": _BASE
+        + """, op AS (
+  SELECT (ms // 5000) * 5000 + 5000 * g.i AS window_end, url, count(*) AS "count"
+  FROM l, range(1, 121) g(i) WHERE method = 'GET' GROUP BY 1, 2)
+SELECT * FROM op WHERE window_end - 1 > (SELECT max(ms) - 61000 FROM l)""",
         "topn_retract_changelog": _LATENESS
         + """, w AS (
   SELECT o.window_end AS o_end, coalesce(o.window_end, n.window_end) AS window_end,

@@ -167,6 +167,15 @@ def pv_salted_total(spark, sf_dir):
     )
 
 
+def pv_user_aggregate(spark, sf_dir):
+    return page_views.page_view_total_by_aggregate(_views(spark, sf_dir))
+
+
+def hot_salted_counts(spark, sf_dir):
+    """Page views per item and hour; only items with a share of all rows are salted."""
+    return hot_items.hourly_item_counts(_views(spark, sf_dir))
+
+
 def pv_table_total(spark, sf_dir):
     return page_views.table_totals(page_views.table_partials(_views(spark, sf_dir)))
 
@@ -186,6 +195,10 @@ def topn_table_agg(spark, sf_dir):
     return hot_urls.table_top(hot_urls.table_counts(_requests(spark, sf_dir)))
 
 
+def topn_user_aggregate(spark, sf_dir):
+    return hot_urls.table_top_by_aggregate(hot_urls.table_counts(_requests(spark, sf_dir)))
+
+
 def topn_max_of_history(spark, sf_dir):
     """Top five by the largest of several counts reported per url and window."""
     log = _arriving_log(spark, sf_dir)
@@ -520,9 +533,12 @@ _QUERIES = [
     salt_udf,
     pv_salted_total,
     pv_table_total,
+    pv_user_aggregate,
+    hot_salted_counts,
     hot_items_topn,
     hot_urls_topn,
     topn_table_agg,
+    topn_user_aggregate,
     topn_max_of_history,
     topn_rank_max,
     topn_upsert_table,
@@ -733,6 +749,8 @@ def oracle_sql() -> dict[str, str]:
 
 def _own_sql() -> dict[str, str]:
     found = _batch_sql()
+    found["topn_user_aggregate"] = found["topn_table_agg"]
+    found["pv_user_aggregate"] = found["pv_plain_total"]
     for name in ("hot_items_report", "pv_report"):
         found[f"{name}_stream"] = found[name]
         found[f"{name}_text"] = f"""
@@ -805,6 +823,9 @@ def _batch_sql() -> dict[str, str]:
         + """SELECT *, 1 AS version FROM v1 UNION ALL
              SELECT *, 2 FROM v2 WHERE window_end IN (SELECT window_end FROM ch)""",
         "changelog_materialize": _LATENESS + "SELECT * FROM v2",
+        "hot_salted_counts": _BASE
+        + """SELECT (ms // 3600000) * 3600000 + 3600000 AS window_end, item_id, count(*) AS "count"
+             FROM b WHERE behavior = 'pv' GROUP BY 1, 2""",
         "open_windows_stream": _BASE
         + """, op AS (
   SELECT (ms // 5000) * 5000 + 5000 * g.i AS window_end, url, count(*) AS "count"

@@ -177,3 +177,32 @@ def test_count_plan_reads_two_columns(spark, plan):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in text
     assert "partial_count(1)" in text
     assert "In(event_type, [pv,view])" in text or "In(event_type, [view,pv])" in text
+
+
+def _skewed(spark):
+    """A third of all rows on one key, a tenth on the null key, the rest thin."""
+    rows = []
+    for i in range(6000):
+        kind = "hot" if i % 3 == 0 else None if i % 10 == 1 else f"k{i}"
+        rows.append((kind, i * 700))
+    return spark.createDataFrame(rows, "key string, ms long").select(
+        "key", F.timestamp_millis("ms").alias("ts")
+    )
+
+
+def test_only_hot_keys_are_salted(spark):
+    df = _skewed(spark)
+    hot = totals.hot_keys(df, "key", 0.05)
+    assert sorted(map(str, hot)) == ["None", "hot"]
+    salted = df.select("key", totals.hot_salted(df, "key", hot, hashed_salt("", "ts")).alias("salt"))
+    salts = {r.key: r.n for r in salted.groupBy("key").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert salts["hot"] == salts[None] == 8 and {n for k, n in salts.items() if k not in ("hot", None)} == {0}
+
+
+@pytest.mark.parametrize("share", [0.001, 0.05, 0.9])
+def test_hot_salted_counts_equal_plain_counts(spark, share):
+    df = _skewed(spark)
+    got = totals.hot_salted_count(df, "key", 60_000, share=share)
+    want = tumbling_count(df, ["key"], 60_000)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert totals.hot_salted_count(df.limit(0), "key", 60_000).count() == 0

@@ -11,6 +11,7 @@ from ..functions.event_time import behavior_time, page_views
 from ..functions.parsing import parse_behavior
 from ..functions.reports import item_report
 from ..operators.topn import sliding_top_n, top_n
+from ..operators.totals import hot_salted_count
 from ..operators.windows import sliding_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
@@ -32,6 +33,11 @@ def item_counts(behavior: DataFrame, size: int = SIZE, slide: int = SLIDE) -> Da
     return sliding_count(page_views(behavior_time(behavior)), ["item_id"], size, slide)
 
 
+def hourly_item_counts(behavior: DataFrame, size: int = SIZE, share: float = 0.01) -> DataFrame:
+    """(window_end, item_id, count) per hour, items above ``share`` of all rows salted."""
+    return hot_salted_count(page_views(behavior_time(behavior)), "item_id", size, share=share)
+
+
 def hot_items(
     behavior: DataFrame, n: int = TOP, size: int = SIZE, slide: int = SLIDE
 ) -> DataFrame:

@@ -27,6 +27,7 @@ from ..operators.lateness import (
     revised_windows,
 )
 from ..operators.topn import as_table_rows, max_per_rank, sliding_top_n, top_n
+from ..operators.user_aggregate import TopCounts, aggregate_by
 from ..operators.windows import sliding_count
 from ..sinks.text import labelled, record_text
 from ..sources.lines import read_lines
@@ -160,6 +161,17 @@ def table_top(counts: DataFrame, n: int = TOP) -> DataFrame:
     )
 
 
+def table_top_by_aggregate(counts: DataFrame, n: int = TOP) -> DataFrame:
+    """As :func:`table_top`, by an aggregate of the user surface."""
+    ranked = aggregate_by(counts, ["endtime"], TopCounts(n, "url", "counts"))
+    return ranked.select(
+        F.col("endtime").alias("endtime1"),
+        "rk",
+        F.col("url").alias("url1"),
+        F.col("counts").alias("counts1"),
+    )
+
+
 def upsert_rows(log: DataFrame, n: int = TOP) -> DataFrame:
     """endtime1, rk, url2, counts2: what the upsert table ends up with.
 

@@ -17,13 +17,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from ..functions.clock import hours
+from ..functions.clock import hours, slot_end
 from ..functions.event_time import behavior_time, page_views, rowtime
 from ..functions.parsing import parse_behavior
 from ..functions.reports import pv_report as report
 from ..functions.salts import hashed_salt
 from ..operators.changelog import running_totals, to_retract
 from ..operators.totals import partial_counts, plain_total, salted_total
+from ..operators.user_aggregate import Count, aggregate_by
 from ..operators.windows import tumbling_count
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
@@ -55,6 +56,13 @@ def page_view_total_plain(behavior: DataFrame, size: int = SIZE) -> DataFrame:
     return plain_total(page_views(behavior_time(behavior)), size)
 
 
+def page_view_total_by_aggregate(behavior: DataFrame, size: int = SIZE) -> DataFrame:
+    """(window_end, count), by an aggregate of the user surface."""
+    views = page_views(behavior_time(behavior))
+    ends = views.select(slot_end(F.unix_millis("ts"), size).alias("window_end"))
+    return aggregate_by(ends, ["window_end"], Count())
+
+
 def page_view_partials(behavior: DataFrame, salt: Column, size: int = SIZE) -> DataFrame:
     """(window_end, salt_key, count)."""
     return partial_counts(page_views(behavior_time(behavior)), size, salt)

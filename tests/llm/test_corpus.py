@@ -223,6 +223,13 @@ def test_archives_round_trip(spark):
     assert uris["1"] == rows[0][1] and uris["2"] is None and uris["5"] == "http://c/%0D%0AX: y"
 
 
+def test_archives_of_an_empty_table(spark, tmp_path):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    path = warc.write_archives(empty, "page_id", "html", "url")
+    found = warc.read_records(spark, path, with_payload=True)
+    assert found.count() == 0 and warc.assemble(found).count() == 0
+
+
 def test_parser_takes_pieces_of_any_size_and_truncated_ends():
     record = (b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <a>\r\n"
               b"WARC-Payload-Digest: sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ\r\nContent-Length: 4\r\n\r\nab\r\n\r\n\r\n")
@@ -288,6 +295,104 @@ def test_languages_of_held_out_documents(spark):
     assert {r.lang_pred for r in language.predicted(docs.limit(3), "doc_id", "text", nothing).collect()} == {"und"}
 
 
+def _naive_tfidf(text, grams, idf, extra=()):
+    """Counts gram by gram, as the definition has it."""
+    data, counts = text.translate(grams.fold), {}
+    for n in grams.lengths:
+        for i in range(len(data) - n + 1):
+            code = int.from_bytes(data[i : i + n], "big")
+            bucket = ((code + n) * 2654435761 & 0xFFFFFFFF) >> (32 - grams.bits)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    for i, count in enumerate(extra):
+        if count:
+            counts[grams.buckets + i] = int(count)
+    weights = {b: math.log1p(c) * float(idf[b]) for b, c in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values())) or 1.0
+    return {b: w / norm for b, w in weights.items()}
+
+
+def _some_texts(n):
+    rng = random.Random(5)
+    texts = ["", "a", "   ", "é", "the the the", "x" * 3000, "\n\n", "ab\nab\nab"]
+    while len(texts) < n:
+        texts.append(" ".join("".join(rng.choices("aeinrst ", k=6)) for _ in range(rng.randrange(1, 60))))
+    return texts
+
+
+def test_centroids_answer_as_a_plain_search_does(spark):
+    rows = [(i, t, "abc"[i % 3]) for i, t in enumerate(_some_texts(150))]
+    known = spark.createDataFrame(rows, "id long, text string, lang string")
+    idf = language.inverse_frequencies(known, "text", language.GRAMS)
+    seen = [set(_naive_tfidf(t.encode(), language.GRAMS, [1.0] * 4096)) for _, t, _ in rows]
+    for bucket in (0, 7, 100, 2000, 4095, *list(seen[-1])[:5]):
+        df = sum(bucket in s for s in seen)
+        assert abs(idf[bucket] - (math.log(151 / (1 + df)) + 1)) < 1e-5
+    model = language._learned(known, idf, 1000)
+    assert model.languages == sorted(model.languages) and len(model.languages) == 12
+    texts = [t.encode() for t in _some_texts(60)]
+    at, cosine = model.nearest(texts)
+    for text, i, found in zip(texts, at, cosine):
+        vector = _naive_tfidf(text, language.GRAMS, idf)
+        cosines = [sum(w * float(row[b]) for b, w in vector.items()) for row in model.rows]
+        assert abs(max(cosines) - found) < 1e-4 and cosines[i] >= max(cosines) - 1e-4
+
+
+def test_votes_are_those_of_a_plain_search(spark):
+    texts = _some_texts(200)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "id long, label int")
+    idf = quality.inverse_frequencies(docs, "text", quality.GRAMS, quality.repetition_terms)
+    voters = quality._learned(docs, labels, idf, 1000)
+    asked = [t.encode() for t in texts[:60]]
+    for text, score in zip(asked, voters.scores(asked)):
+        vector = _naive_tfidf(text, quality.GRAMS, idf, quality.repetition_terms([text])[0])
+        latent = [sum(w * float(voters.space[b, k]) for b, w in vector.items())
+                  for k in range(voters.space.shape[1])]
+        norm = math.sqrt(sum(x * x for x in latent)) or 1.0
+        near = [sum(x / norm * float(y) for x, y in zip(latent, row)) for row in voters.vectors]
+        best = sorted(range(len(near)), key=lambda i: -near[i])
+        weight = [max(n, 0) ** quality.SHARPNESS for n in near]
+        voting = best[: quality.NEIGHBOURS]
+        total = sum(weight[i] for i in voting)
+        want = sum(weight[i] * voters.labels[i] for i in voting) / total if total and text else 0.0
+        # Neighbours that tie with the last one may stand for each other.
+        tied = [i for i in best if abs(near[i] - near[voting[-1]]) < 1e-5]
+        slack = 1e-3 + (len(tied) > 1) * len(tied) * weight[voting[-1]] / (total or 1)
+        assert abs(score - want) <= slack
+
+
+LONG = "der die und " * 150_000
+
+
+def test_classifiers_of_odd_tables(spark):
+    schema = "doc_id long, text string, lang string, score string, label string, id string, found string"
+    rows = [(i, f"the cat {i} sat on the mat and", "en", "s", "l", "i", "f") for i in range(30)]
+    rows += [(100 + i, f"der hund {i} und die katze sind", "de", "s", "l", "i", "f") for i in range(30)]
+    rows += [(900, LONG, None, "s", "l", "i", "f"), (901, "der die und", None, "s", "l", "i", "f")] * 2
+    docs = spark.createDataFrame(rows, schema)
+    identify = language.learn(docs, "doc_id", "text", "lang")
+    found = language.predicted(docs, "doc_id", "text", identify).collect()
+    assert len(found) == len(rows)
+    assert {r.lang_pred for r in found if r.doc_id >= 100} == {"de"}
+    assert {r.lang_pred for r in found if r.doc_id < 100} == {"en"}
+    assert len({(r.doc_id, r.lang_pred, r.score) for r in found}) == 62  # repeated rows alike
+    empty = docs.limit(0)
+    assert language.predicted(empty, "doc_id", "text", language.learn(empty, "doc_id", "text", "lang")).count() == 0
+    # Two languages learned from the same texts tie: the first by name.
+    twins = docs.where("lang = 'en'").unionByName(
+        docs.where("lang = 'en'").withColumn("lang", F.lit("aa")).withColumn("doc_id", F.col("doc_id")))
+    tied = language.learn(twins, "doc_id", "text", "lang")
+    assert {r.lang_pred for r in language.predicted(docs.limit(5), "doc_id", "text", tied).collect()} == {"aa"}
+
+    labels = spark.createDataFrame([(r[0], int(r[0] < 100)) for r in rows[:60]], "id long, label int")
+    score = quality.learn(docs, "doc_id", "text", labels, "id", "label")
+    scored = quality.scored(docs, "doc_id", "text", score).collect()
+    assert len(scored) == len(rows) and len({(r.doc_id, r.score) for r in scored}) == 62
+    assert all((r.score > 0.5) == (r.doc_id < 100) for r in scored)
+    kept = quality.accepted(docs, "text", score)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(30))
+
+
 # -- licences -------------------------------------------------------------------------------
 
 
@@ -362,3 +467,53 @@ def test_pipeline_stage_by_stage(spark):
     assert near.count() == near.select("doc_id").distinct().count()
     words = kept["mixing sources"].select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     assert kept["best-fit packing"].agg(F.sum("n_tokens")).first()[0] == words
+
+
+def _run_stages(spark, docs, folder):
+    """The stages over ``docs``, each written and read again; the rows after each."""
+    kept = {}
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        kept[name] = docs.collect(), docs.columns
+    return kept
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls everywhere, repeated rows, a very long text, and names that operators use."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = docs.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where(
+        "quality = 1 and n_chars > 400 and lang = 'en'").orderBy("doc_id").limit(3).collect()
+    extra = [f"{n} string" for n in ("uid", "row", "key", "fp", "copies", "score", "hash")]
+    schema = f"{docs.schema.simpleString()[7:-1].replace(':', ' ')}, {', '.join(extra)}".replace(",", ", ")
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+
+    def row(doc_id, text, source="web"):
+        values = dict(zip(names, (doc_id, text, None, source, None)))
+        return (*[values[c] for c in docs.columns], *["x"] * len(extra))
+
+    texts = [g.text for g in good]
+    rows = [row(g.doc_id, g.text) for g in good]
+    rows += [row(None, texts[0]), row(good[0].doc_id, texts[0]), row(7_000_000, texts[1], None)]
+    rows += [row(8_000_000, None), row(8_000_001, ""), row(None, None, None)]
+    rows += [row(8_000_002, "\n".join(texts) * 300), row(None, texts[2] + " more words at the end")]
+    odd = spark.createDataFrame(rows, schema)
+    both = odd.unionByName(docs.select(*docs.columns, *[F.lit(None).cast("string").alias(n.split()[0]) for n in extra]))
+    kept = _run_stages(spark, both, tmp_path)
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert kept[name][1] == both.columns
+    after = {name: [r.doc_id for r in found if "doc_id" in r] for name, (found, _) in kept.items()}
+    assert not {8_000_000, 8_000_001} & set(after["quality classifier"])
+    assert 8_000_002 in after["quality classifier"]
+    exact = [r for r in kept["exact dedup"][0] if r.text == texts[0]]
+    assert [r.doc_id for r in exact] == [good[0].doc_id] and 7_000_000 not in after["exact dedup"]
+    near = [r for r in kept["SimHash near-dedup"][0] if r.text and r.text.startswith(texts[2])]
+    assert [r.doc_id for r in near] == [good[2].doc_id]
+    assert kept["best-fit packing"][0]
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = _run_stages(spark, docs.limit(0), tmp_path)
+    assert all(found == [] for found, _ in kept.values())
+    assert kept["mixing sources"][1] == docs.columns

@@ -83,6 +83,30 @@ def clustered(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def _centroids_of(table: pa.Table) -> pa.Table:
+    """The centroids of one language's sample: ``lang, number, vector, least``."""
+    table = table.sort_by("vector")
+    rows = np.frombuffer(b"".join(table["vector"].to_pylist()), dtype=np.float16)
+    rows = rows.reshape(-1, GRAMS.buckets).astype(np.float32)
+    rows = rows[np.linalg.norm(rows, axis=1) > 0]
+    centres, least = np.zeros((0, GRAMS.buckets), np.float32), []
+    if len(rows):
+        centres = clustered(rows, CENTROIDS)
+        cosines = rows @ centres.T
+        for i in range(len(centres)):
+            mine = cosines[cosines.argmax(axis=1) == i, i]
+            least.append(float(np.quantile(mine, REJECTED_SHARE)) if len(mine) else 1.0)
+    n = len(centres)
+    return pa.table(
+        {
+            "lang": pa.array([table["lang"][0].as_py()] * n, pa.string()),
+            "number": pa.array(range(n), pa.int32()),
+            "vector": pa.array([c.astype(np.float32).tobytes() for c in centres], pa.binary()),
+            "least": pa.array(least, pa.float64()),
+        }
+    )
+
+
 def _learned(known: DataFrame, idf: np.ndarray, per_language: int) -> Centroids:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,30 +121,21 @@ def _learned(known: DataFrame, idf: np.ndarray, per_language: int) -> Centroids:
                     names=["lang", "vector"],
                 )
 
+    # A group is one language's sample, bounded by ``per_language``; the driver gets the
+    # model, a few vectors for each language.
     sample = sampled(known.where("lang is not null"), "id", "lang", per_language)
     found = (
         sample.select("lang", "text")
         .mapInArrow(vectors, "lang string, vector binary")
+        .groupBy("lang")
+        .applyInArrow(_centroids_of, "lang string, number int, vector binary, least double")
         .toArrow()
-        .sort_by([("lang", "ascending"), ("vector", "ascending")])
+        .sort_by([("lang", "ascending"), ("number", "ascending")])
+    )
+    rows = np.frombuffer(b"".join(found["vector"].to_pylist()), dtype=np.float32)
+    return Centroids(
+        idf, rows.reshape(-1, GRAMS.buckets), found["lang"].to_pylist(), found["least"].to_numpy()
     )
-    languages = np.array(found["lang"].to_pylist(), dtype=object)
-    rows = np.frombuffer(b"".join(found["vector"].to_pylist()), dtype=np.float16)
-    rows = rows.reshape(-1, GRAMS.buckets).astype(np.float32)
-    centres, names, least = [np.zeros((0, GRAMS.buckets), np.float32)], [], []
-    for language in sorted(set(languages)):
-        own = rows[languages == language]
-        own = own[np.linalg.norm(own, axis=1) > 0]
-        if not len(own):
-            continue
-        found_here = clustered(own, CENTROIDS)
-        cosines = own @ found_here.T
-        for i in range(len(found_here)):
-            mine = cosines[cosines.argmax(axis=1) == i, i]
-            least.append(np.quantile(mine, REJECTED_SHARE) if len(mine) else 1.0)
-            names.append(language)
-        centres.append(found_here)
-    return Centroids(idf, np.vstack(centres), names, np.array(least))
 
 
 def learn(

@@ -2,6 +2,14 @@
 
 Quality filter, exact deduplication, SimHash near-deduplication, mixing of the sources
 and packing, each stage a table in the shared folder that the next one reads.
+
+What a stage does with odd rows is what its operator does. In short: a null or empty
+text, or one without a known term, has quality zero and goes in the first stage. Null
+texts count as empty, equal texts keep the row with the smallest id (rows without an id
+last), also where rows are repeated. Texts of any length are taken whole. A null source
+is a source of its own, and rows without an id are drawn and packed like others. All
+stages but the last return the columns of their input, whatever they are called. An
+empty table gives an empty table at every stage, and no sequences.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.functions import event_time, parsing, reports, salts  # noqa: E402
 from tidemark.operators import changelog, lateness, topn  # noqa: E402
+from tidemark.operators.upkeep import WindowTable  # noqa: E402
 from tidemark.plans import hot_items, hot_urls, page_views  # noqa: E402
 from tidemark.schemas import REPORTS, UPSERT_ROW  # noqa: E402
 from tidemark.sinks.ordered_text import lines_in_order, write_in_order  # noqa: E402
@@ -146,6 +147,22 @@ def table_sliding_count(spark, sf_dir):
     return hot_urls.table_counts(_requests(spark, sf_dir))
 
 
+def window_upkeep(spark, sf_dir):
+    """Item counts kept up load by load, in order of arrival, some rows days late."""
+    table = WindowTable(
+        spark, new_folder(spark, "kept-up"), "item_id long", hot_items.SIZE, hot_items.SLIDE
+    )
+    arrival = _arrival(UPKEEP_STEP)
+    views = event_time.page_views(
+        event_time.behavior_time(_views(spark, sf_dir, arrival.alias("arrival")))
+    )
+    low, high = ev.read_events(spark, sf_dir).agg(F.min(arrival), F.max(arrival)).first()
+    for number in range(UPKEEP_LOADS if low is not None else 0):
+        part = F.expr(f"(arrival - {low}L) * {UPKEEP_LOADS}L div {high - low + 1}L")
+        table.add(views.where(part == number), f"load-{number}")
+    return table.windows()
+
+
 def pv_plain_total(spark, sf_dir):
     return page_views.page_view_total_plain(_views(spark, sf_dir))
 
@@ -323,6 +340,8 @@ def pv_report_text(spark, sf_dir):
 STREAM_FILES, STREAM_FILE_ROWS = 4, 5_000_000
 #: The same where events arrive in disorder, up to some hours late.
 ARRIVAL_FILES, ARRIVAL_STEP = 8, 12_000
+#: Loads of the kept-up table; rows arrive up to four days late there.
+UPKEEP_LOADS, UPKEEP_STEP = 4, 360_000
 
 
 def _as_stream(spark, parts):
@@ -528,6 +547,7 @@ _QUERIES = [
     sliding_count_items,
     sliding_count_urls,
     table_sliding_count,
+    window_upkeep,
     pv_plain_total,
     salted_partial_count,
     salt_udf,
@@ -749,6 +769,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _own_sql() -> dict[str, str]:
     found = _batch_sql()
+    found["window_upkeep"] = found["sliding_count_items"]
     found["topn_user_aggregate"] = found["topn_table_agg"]
     found["pv_user_aggregate"] = found["pv_plain_total"]
     for name in ("hot_items_report", "pv_report"):

@@ -1,4 +1,6 @@
+import os
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -8,6 +10,7 @@ from tidemark import workspace
 from tidemark.functions.clock import hours, minutes, seconds
 from tidemark.functions.salts import hashed_salt, numbered_salt, random_salt
 from tidemark.operators import topn, totals
+from tidemark.operators.upkeep import WindowTable
 from tidemark.operators.windows import sliding_count, tumbling_count
 
 
@@ -206,3 +209,51 @@ def test_hot_salted_counts_equal_plain_counts(spark, share):
     want = tumbling_count(df, ["key"], 60_000)
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
     assert totals.hot_salted_count(df.limit(0), "key", 60_000).count() == 0
+
+
+def _parts(path):
+    return {
+        os.path.relpath(os.path.join(at, f), path): os.stat(os.path.join(at, f)).st_mtime_ns
+        for at, _, files in os.walk(path) for f in files if f.endswith(".parquet")
+    }
+
+
+def test_a_load_computes_only_the_days_it_touches(spark, tmp_path):
+    rng = random.Random(3)
+    size, slide, day = hours(1), minutes(10), 86_400_000
+    rows = [(rng.randrange(10 * day), f"k{rng.randrange(3)}") for _ in range(600)]
+    rows += [(4 * day - 1, "edge"), (4 * day, "edge")]
+    table = WindowTable(spark, str(tmp_path), "key string", size, slide)
+    assert table.windows().count() == 0
+    first = [r for r in rows if not 3.2 * day < r[0] < 3.6 * day]
+    later = [r for r in rows if r not in first]
+    assert set(range(10)) <= set(table.add(events(spark, first), "a"))
+    before = _parts(f"{tmp_path}/windows")
+    assert table.add(events(spark, later), "b") == [3]
+    changed = {p for p, t in _parts(f"{tmp_path}/windows").items() if before.get(p) != t}
+    assert changed and all(p.startswith("day=3/") for p in changed)
+    plan = table.slots_of([3])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"day#\d+ IN \(2,3\)", plan.split("PartitionFilters: [")[1].split("]")[0])
+    days = table.slots_of([3]).select("day").distinct().collect()
+    assert {r.day for r in days} == {2, 3}
+    want = as_dict(sliding_count(events(spark, rows), ["key"], size, slide), "key")
+    assert as_dict(table.windows(), "key") == want
+    # The same load again, and an empty one, change nothing.
+    table.add(events(spark, later), "b")
+    assert table.add(events(spark, later).limit(0), "c") == []
+    assert as_dict(table.windows(), "key") == want
+    assert {r.window_end // day for r in table.windows([3]).collect()} == {3}
+
+
+def test_scratch_leaves_no_file(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    def files():
+        return [f for _, _, found in os.walk(tmp_path) for f in found]
+
+    monkeypatch.setattr(workspace, "shared_root", lambda _: str(tmp_path))
+    for name in ("hot_items_topn", "window_upkeep", "pv_stream", "hot_items_report_text"):
+        with workspace.scratch(spark):
+            assert entry.queries()[name](spark, entry.SMOKE_DIR).count() > 0
+            assert files()
+        assert not files(), name

@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_root: str | None = None
+#: Folders named within :func:`scratch`, innermost last.
+_scopes: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,7 +36,27 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used yet below the shared folder."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every folder that was named inside.
+
+    Results of this library are lazy and read intermediate tables: use them, or write
+    them elsewhere, before the end.
+    """
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            remove_folder(spark, path)
 
 
 def write_table(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:

@@ -163,9 +163,13 @@ def canonical_lines(text: Column) -> Column:
     words = F.concat(
         F.lit(" "), F.replace(F.replace(plain, F.lit(" "), F.lit("  ")), F.lit("\n"), F.lit(" \n ")), F.lit(" ")
     )
-    for name, other in SPELLINGS.items():
-        words = F.replace(words, F.lit(f" {name.replace(' ', '  ')} "), F.lit(f" {other.replace(' ', '  ')} "))
-    lines = F.transform(F.split(F.replace(words, F.lit("  "), F.lit(" ")), "\n"), lambda x: F.trim(x))
+    wide = {n.replace(" ", "  "): o.replace(" ", "  ") for n, o in SPELLINGS.items()}
+    unified = words
+    for name, other in wide.items():
+        unified = F.replace(unified, F.lit(f" {name} "), F.lit(f" {other} "))
+    # Few texts have any of them: one look first.
+    unified = F.when(words.rlike(f" (?:{'|'.join(wide)}) "), unified).otherwise(words)
+    lines = F.transform(F.split(F.replace(unified, F.lit("  "), F.lit(" ")), "\n"), lambda x: F.trim(x))
     return F.filter(lines, lambda x: x != "")
 
 

@@ -15,6 +15,7 @@ from tidemark.sources.lines import read_lines
 from tidemark.streaming.batch_log import BatchLog
 from tidemark.streaming.counts import stream_count
 from tidemark.streaming.end_of_input import END_ACCESS_LOG_LINE, END_BEHAVIOR_LINE
+from tidemark.streaming.open_state import open_windows, watermark_ms
 from tidemark.streaming.run import into_all, into_log, start
 
 
@@ -273,7 +274,29 @@ def test_state_ends_with_its_windows(spark, tmp_path):
     assert len(totals) >= 12 and {r.n for r in totals} == {6}
 
 
-def test_a_hot_key_is_counted_before_it_is_shuffled(spark, tmp_path, plan):
+def test_open_windows_are_read_from_the_state(spark, tmp_path):
+    """What a stopped stream holds are the windows its watermark has not passed."""
+    folder, rng = tmp_path / "in", random.Random(7)
+    sent = sorted((rng.randrange(0, 600) * 1000, f"/p/{rng.randrange(4)}") for _ in range(120))
+    for i in range(3):
+        put(folder, i, [log_line(ms_, "GET", url) for ms_, url in sent[i * 40 : (i + 1) * 40]])
+    source = parse_access_log(stream(spark, folder))
+    job = hot_urls.late_job(spark, str(tmp_path / "out"), access_log_time(source).schema, **RULE)
+    query = hot_urls.start_hot_urls_late(source, job, str(tmp_path / "cp"))
+    query.awaitTermination()
+    passed = watermark_ms(query)
+    assert passed == MIDNIGHT + sent[-1][0] - RULE["delay"] - RULE["lateness"]
+    want = Counter()
+    for ms_, url in sent:
+        first = MIDNIGHT + ms_ // RULE["slide"] * RULE["slide"] + RULE["slide"]
+        for end in range(first, first + RULE["size"], RULE["slide"]):
+            if end - 1 > passed:
+                want[end, url] += 1
+    found = open_windows(spark, str(tmp_path / "cp"), "url string", RULE["size"], RULE["slide"], passed)
+    assert {(r.window_end, r.url): r["count"] for r in found.collect()} == want and want
+
+
+def test_a_hot_key_is_counted_before_it_is_shuffled(spark, tmp_path):
     """One row per slot and Arrow batch reaches the keyed state; no window copies do."""
     folder = tmp_path / "in"
     put(folder, 0, [f"1,7,1,pv,{10 + i % 3}" for i in range(5000)])
@@ -281,15 +304,12 @@ def test_a_hot_key_is_counted_before_it_is_shuffled(spark, tmp_path, plan):
     counts = stream_count(
         page_views(behavior_time(parse_behavior(stream(spark, folder)))), ["item_id"], hours(1), minutes(5)
     )
-    seen = []
-
-    def look(batch, batch_id):
-        log.write(batch, batch_id)
-        seen.append(batch._jdf.queryExecution().toString())
-
     log = BatchLog(spark, str(tmp_path / "out"), counts.schema)
-    query = start(counts, look, str(tmp_path / "cp"))
+    query = start(counts, into_log(log, lambda batch: batch), str(tmp_path / "cp"))
     query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    before_state = text[text.index("TransformWithState") :]
+    assert "Exchange" in before_state and "Expand" not in before_state and "Generate" not in before_state
     assert rows(log.rows()) == [(end * 300_000, 7, 5000) for end in range(1, 13)]
     state = [p["stateOperators"][0] for p in query.recentProgress]
     assert max(p["numRowsUpdated"] for p in state) <= 3

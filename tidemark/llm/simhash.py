@@ -164,10 +164,13 @@ def _classes(prints: DataFrame, ids: str, max_bits: int) -> DataFrame:
     parts = components(named, "x", "y").select(
         F.col("node.fp").alias("p_fp"), F.col("component.least").alias("p_least")
     )
-    return distinct.join(parts, F.col("fp") == F.col("p_fp"), "left").select(
+    named = distinct.join(parts, F.col("fp") == F.col("p_fp"), "left").select(
         F.col("fp").alias("class_fp"),
         F.when(F.col("p_fp").isNull(), F.col("least")).otherwise(F.col("p_least")).alias("component_id"),
     )
+    # Written: rows then meet their class in a join of two plain shuffles, in which a
+    # fingerprint that very many rows share is split.
+    return write_table(named, "classes")[0]
 
 
 def near_duplicates(

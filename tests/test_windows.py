@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from tidemark import workspace
 from tidemark.functions.clock import hours, minutes, seconds
 from tidemark.functions.salts import hashed_salt, numbered_salt, random_salt
-from tidemark.operators import topn, totals
+from tidemark.operators import topn, totals, windows
 from tidemark.operators.upkeep import WindowTable
-from tidemark.operators.windows import sliding_count, tumbling_count
+from tidemark.operators.windows import in_blocks, sliding_count, tumbling_count, window_ends
 
 
 def events(spark, rows):
@@ -257,3 +257,34 @@ def test_scratch_leaves_no_file(spark, tmp_path, monkeypatch):
             assert entry.queries()[name](spark, entry.SMOKE_DIR).count() > 0
             assert files()
         assert not files(), name
+
+
+def test_ranked_windows_of_a_task_are_bounded(spark, monkeypatch):
+    """Few stretches hold many windows: tasks follow the windows, and rank as one would."""
+    monkeypatch.setattr(windows, "TASK_ROWS", 2_000)
+    monkeypatch.setattr(windows, "_DEAL_ROWS", 500)
+    rng = random.Random(3)
+    rows = [(f"k{i % 40}", s := 5 * rng.randrange(-300, 900), s + 5 * rng.randrange(1, 700),
+             rng.randrange(6)) for i in range(120)]
+    rows.append((None, -1_500, 6_000, 4))
+    steps = spark.createDataFrame(rows, "key string, _at long, _next long, n long")
+    # Stretches of a key do not overlap.
+    steps = steps.groupBy("key").agg(*[F.max_by(c, "_at").alias(c) for c in ("_at", "_next", "n")])
+    blocks = in_blocks(steps, "key", 5)
+    written = window_ends(blocks.table, ["_block", "key"], ["n"], 5)
+    assert written.count() == window_ends(steps, ["key"], ["n"], 5).count() == blocks.windows
+    per_task = written.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task <= 2 * windows.TASK_ROWS < blocks.windows
+    got = topn.top_n_in_blocks(blocks, 3, "key", F.col("n")).collect()
+    whole = window_ends(steps.where("n > 0").withColumnRenamed("n", "count"), ["key"], ["count"], 5)
+    assert got and sorted(got) == sorted(topn.top_n(whole, 3, "key").collect())
+
+
+def test_more_intervals_go_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(windows, "TASK_ROWS", 10)
+    rows = [("a", 5 * i, 5 * i + 50, 1) for i in range(60)]
+    intervals = spark.createDataFrame(rows, "key string, _start long, _stop long, n long")
+    steps = windows.interval_steps(intervals, ["key"], ["n"], 50, 5, present="n", rows=60)
+    assert steps.rdd.getNumPartitions() == 12
+    plain = windows.interval_steps(intervals, ["key"], ["n"], 50, 5, present="n")
+    assert sorted(steps.collect()) == sorted(plain.collect())

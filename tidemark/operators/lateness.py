@@ -215,8 +215,13 @@ def class_counts(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
     )
 
 
-def class_steps(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
-    """As :func:`class_counts`, one row per key and stretch ``[_at, _next)`` of window ends."""
+def class_steps(
+    df: DataFrame, keys: Sequence[str], gates: Gates, *, rows: int = 0
+) -> DataFrame:
+    """As :func:`class_counts`, one row per key and stretch ``[_at, _next)`` of window ends.
+
+    ``rows`` is the number of rows of ``df``, if that is known.
+    """
     bounds = ["_start", "_accepted", "_on_time", "_stop"]
     alike = classify(df, gates).groupBy(*keys, *bounds).agg(F.count(F.lit(1)).alias("_n"))
     zero = F.lit(0).cast("long")
@@ -241,14 +246,14 @@ def class_steps(df: DataFrame, keys: Sequence[str], gates: Gates) -> DataFrame:
     # A slot has an interval for each of its watermark positions; their edges coincide.
     return interval_steps(
         intervals, keys, [*CLASSES, "_rows"], gates.rule.size, gates.rule.slide,
-        present="_rows", presum=True,
+        present="_rows", presum=True, rows=rows * len(CLASSES),
     ).drop("_rows")
 
 
 def revised_windows(steps: DataFrame, rule: LatenessRule) -> DataFrame:
     """Window ends that accept a row late, hence change after they closed.
 
-    ``steps`` as of :func:`class_steps`.
+    ``steps`` as of :func:`class_steps`, whole or in blocks.
     """
     late = steps.where("accepted_late > 0")
     return window_ends(late, [], [], rule.slide).distinct()

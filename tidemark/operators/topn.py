@@ -7,12 +7,20 @@ before the shuffle and again after it; no window's full key set meets in a task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to
 from ..workspace import may_broadcast, write_table
-from .windows import as_intervals, interval_steps, sliding_count, slot_counts
+from .windows import (
+    Blocks,
+    as_intervals,
+    interval_steps,
+    sliding_count,
+    slot_counts,
+    tasks_for,
+    window_ends,
+)
 
 _FLOOR_BYTES = 64  # a broadcast row of two longs
 
@@ -35,6 +43,28 @@ def top_n(
     )
 
 
+def top_n_in_blocks(
+    blocks: Blocks, n: int, key: str, counted: Column, *, rank: str = "rk"
+) -> DataFrame:
+    """``top_n`` of the windows that stretches hold, each with ``counted`` above zero.
+
+    First within each deal of a block, then per window over what is left: memory of a
+    task follows from ``TASK_ROWS``, not from the number of keys or windows.
+    """
+    stretches = blocks.table.withColumn("count", counted).where("count > 0")
+    counts = window_ends(stretches, ["_block", "_deal", key], ["count"], blocks.slide)
+    order = [F.desc("count"), F.asc(key)]
+    of_deal = Window.partitionBy("_block", "_deal", "window_end").orderBy(*order)
+    parts = tasks_for(counts.sparkSession, blocks.most(n))
+    left = (
+        counts.withColumn("_place", F.row_number().over(of_deal))
+        .where(F.col("_place") <= n)
+        .select("window_end", key, "count")
+        .repartition(parts, "window_end")
+    )
+    return top_n(left, n, key, rank=rank)
+
+
 def sliding_top_n(
     df: DataFrame, n: int, key: str, size: int, slide: int, *, ts: str = "ts"
 ) -> DataFrame:

@@ -22,8 +22,9 @@ The shuffles see one row per slot; the copies exist only downstream of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import floor_to, interval_text, slot_end
@@ -34,6 +35,10 @@ from ..session import shuffle_partitions
 # slot, or ``presum`` is given, a key has at most 2 * 33 * size / slide edges in
 # a chunk.
 _CHUNK_SIZES = 32
+# A task writes out, sorts or ranks about so many rows, where their number is known.
+TASK_ROWS = 1_000_000
+# Window ends of one block, and rows of it that are dealt together.
+_BLOCK_ENDS, _DEAL_ROWS = 256, TASK_ROWS // 16
 
 
 def _event_ms(ts: str | Column) -> Column:
@@ -135,6 +140,63 @@ def window_ends(
     )
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for ``rows`` rows, ``TASK_ROWS`` each; the session's number at least."""
+    return max(shuffle_partitions(spark), -(-rows // TASK_ROWS))
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """Stretches cut at the borders of time blocks, ``_block`` and ``_deal`` named.
+
+    ``table`` is dealt by both, so that a task writes out about ``TASK_ROWS`` windows,
+    however many keys and windows there are; ``most`` rows come out where each deal
+    gives ``n`` rows a window.
+    """
+
+    table: DataFrame
+    slide: int
+    windows: int
+    deals: int
+
+    def most(self, n: int) -> int:
+        return min(self.windows, self.deals * _BLOCK_ENDS * n)
+
+
+def in_blocks(steps: DataFrame, key: str, slide: int) -> Blocks:
+    """Deal the stretches ``steps``, a table that is read twice, by the windows they hold.
+
+    How many bytes stretches have says little of the windows written out from them. So
+    windows are counted per block of time, and a block of many is dealt by ``key`` too.
+    """
+    width = slide * _BLOCK_ENDS
+    step, wide = F.lit(slide).cast("long"), F.lit(width).cast("long")
+    cut = (
+        steps.withColumn(
+            "_block",
+            F.explode(
+                F.sequence(
+                    floor_to(F.col("_at"), width), floor_to(F.col("_next") - step, width), wide
+                )
+            ),
+        )
+        .withColumn("_at", F.greatest("_at", "_block"))
+        .withColumn("_next", F.least(F.col("_next"), F.col("_block") + wide))
+    )
+    sizes = cut.groupBy("_block").agg(
+        F.sum(((F.col("_next") - F.col("_at")) / step).cast("long")).alias("_windows")
+    )
+    windows, blocks, largest = sizes.agg(
+        F.sum("_windows"), F.count(F.lit(1)), F.max("_windows")
+    ).first()
+    deals = max(1, -(-(largest or 0) // _DEAL_ROWS))
+    n = tasks_for(steps.sparkSession, windows or 0)
+    table = cut.withColumn(
+        "_deal", F.pmod(F.xxhash64(key), F.lit(deals).cast("long"))
+    ).repartition(n, "_block", "_deal")
+    return Blocks(table, slide, windows or 0, blocks * deals)
+
+
 def interval_steps(
     intervals: DataFrame,
     keys: Sequence[str],
@@ -144,11 +206,13 @@ def interval_steps(
     *,
     present: str,
     presum: bool = False,
+    rows: int = 0,
 ) -> DataFrame:
     """As :func:`interval_sums`, one row per stretch ``[_at, _next)`` of equal sums.
 
     ``presum`` adds up edges of one key and time before they are dealt out, for
-    intervals that share them.
+    intervals that share them. ``rows``: at most so many intervals, if that is known;
+    the number of tasks grows with it.
     """
     step = F.lit(slide).cast("long")
     chunk_ms = F.lit(size * _CHUNK_SIZES).cast("long")
@@ -180,7 +244,7 @@ def interval_steps(
     )
     both = F.inline(F.array(begins, ends)).alias("_at", *measures)
     key_columns = [F.col(k) for k in keys]
-    n = shuffle_partitions(intervals.sparkSession)
+    n = tasks_for(intervals.sparkSession, 2 * rows)
     if presum:
         summed = chunked.select(*keys, "_chunk", both).groupBy(*keys, "_chunk", "_at").agg(
             *[F.sum(m).alias(m) for m in measures]

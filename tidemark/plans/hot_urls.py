@@ -22,13 +22,18 @@ from ..operators.lateness import (
     build_gates,
     class_steps,
     late_output,
-    revised,
     revised_counts,
     revised_windows,
 )
-from ..operators.topn import as_table_rows, max_per_rank, sliding_top_n, top_n
+from ..operators.topn import (
+    as_table_rows,
+    max_per_rank,
+    sliding_top_n,
+    top_n,
+    top_n_in_blocks,
+)
 from ..operators.user_aggregate import TopCounts, aggregate_by
-from ..operators.windows import sliding_count
+from ..operators.windows import in_blocks, sliding_count
 from ..sinks.text import labelled, record_text
 from ..sources.lines import read_lines
 from ..streaming.batch_log import BatchLog
@@ -95,18 +100,19 @@ def ranking_history(log: DataFrame, gates: Gates, n: int = TOP) -> DataFrame:
     Counts are kept as stretches of equal counts in one table, from which both
     rankings and the revised windows are read.
     """
-    steps, _ = write_table(class_steps(get_requests(log), ["url"], gates), "stretches")
-    counts = revised(steps, ["url"], gates.rule)
-    first = counts.where("first_count > 0").select(
-        "window_end", "url", F.col("first_count").alias("count")
+    requests = get_requests(log)
+    steps, _ = write_table(
+        class_steps(requests, ["url"], gates, rows=requests.count()), "stretches"
     )
-    final = counts.select("window_end", "url", F.col("final_count").alias("count"))
+    blocks = in_blocks(steps, "url", gates.rule.slide)
+    first = F.col("on_time")
+    final = F.col("on_time") + F.col("accepted_late")
     return (
-        top_n(first, n, "url")
+        top_n_in_blocks(blocks, n, "url", first)
         .withColumn("version", F.lit(1))
         .unionByName(
-            top_n(final, n, "url")
-            .join(revised_windows(steps, gates.rule), "window_end", "left_semi")
+            top_n_in_blocks(blocks, n, "url", final)
+            .join(revised_windows(blocks.table, gates.rule), "window_end", "left_semi")
             .withColumn("version", F.lit(2))
         )
     )

@@ -288,3 +288,22 @@ def test_more_intervals_go_to_more_tasks(spark, monkeypatch):
     assert steps.rdd.getNumPartitions() == 12
     plain = windows.interval_steps(intervals, ["key"], ["n"], 50, 5, present="n")
     assert sorted(steps.collect()) == sorted(plain.collect())
+
+
+def test_hopeless_stretches_are_left_out(spark):
+    """Ties and null keys included: what is left ranks as all stretches would."""
+    rng = random.Random(8)
+    rows = []
+    for key in [None, *[f"k{i:02}" for i in range(60)]]:
+        at = 5 * rng.randrange(-200, 50)
+        for _ in range(6):
+            end = at + 5 * rng.randrange(1, 90)
+            rows.append((key, at, end, rng.choice([1, 1, 1, 2, 3])))
+            at = end + 5 * rng.randrange(0, 20)
+    steps = spark.createDataFrame(rows, "key string, _at long, _next long, count long")
+    ranked = lambda s: topn.top_n(window_ends(s, ["key"], ["count"], 5), 3, "key")
+    for span in (None, 10_000):
+        some = topn.hopeful_stretches(steps, 3, "key", 5, span=span)
+        assert sorted(ranked(some).collect()) == sorted(ranked(steps).collect())
+    windows_of = lambda s: window_ends(s, ["key"], ["count"], 5).count()
+    assert windows_of(some) < windows_of(steps) / 2

@@ -15,6 +15,7 @@ from ..workspace import may_broadcast, write_table
 from .windows import (
     Blocks,
     as_intervals,
+    cut_at_blocks,
     interval_steps,
     sliding_count,
     slot_counts,
@@ -23,6 +24,8 @@ from .windows import (
 )
 
 _FLOOR_BYTES = 64  # a broadcast row of two longs
+_KEY_BYTES = 256  # of a key in it
+_FLOOR_ENDS = 12  # window ends of a block whose n-th best key bounds the others
 
 
 def top_n(
@@ -65,6 +68,40 @@ def top_n_in_blocks(
     return top_n(left, n, key, rank=rank)
 
 
+def hopeful_stretches(
+    steps: DataFrame, n: int, key: str, slide: int, *, count: str = "count",
+    span: int | None = None,
+) -> DataFrame:
+    """Stretches of equal counts, cut into blocks, without those that cannot rank.
+
+    A key whose stretch covers a whole block has its count in every window there. So
+    whoever ranks behind the n-th best of these keys, ties included, is behind n keys in
+    every window of the block. Exact; the stretches of a key do not overlap. ``span`` is
+    the time between the first and the last stretch, if that is known.
+    """
+    width = slide * _FLOOR_ENDS
+    cut = cut_at_blocks(steps, width, slide)
+    whole = cut.where(F.col("_next") - F.col("_at") == width)
+    floors = (
+        top_n(whole, n, key, window="_block", count=count)
+        .where(F.col("rk") == n)
+        .select("_block", F.col(key).alias("_floor_key"), F.col(count).alias("_floor"))
+    )
+    if span is not None and may_broadcast(span // width + 2, _FLOOR_BYTES + _KEY_BYTES):
+        floors = F.broadcast(floors)
+    # Nulls rank before other keys.
+    not_behind = F.col(key).isNull() | (F.col(key) <= F.col("_floor_key"))
+    return (
+        cut.join(floors, "_block", "left")
+        .where(
+            F.col("_floor").isNull()
+            | (F.col(count) > F.col("_floor"))
+            | ((F.col(count) == F.col("_floor")) & not_behind)
+        )
+        .drop("_block", "_floor_key", "_floor")
+    )
+
+
 def sliding_top_n(
     df: DataFrame, n: int, key: str, size: int, slide: int, *, ts: str = "ts"
 ) -> DataFrame:

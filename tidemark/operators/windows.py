@@ -145,6 +145,19 @@ def tasks_for(spark: SparkSession, rows: int) -> int:
     return max(shuffle_partitions(spark), -(-rows // TASK_ROWS))
 
 
+def cut_at_blocks(steps: DataFrame, width: int, slide: int) -> DataFrame:
+    """Stretches cut at the borders of blocks of ``width``, named by their ``_block``."""
+    step, wide = F.lit(slide).cast("long"), F.lit(width).cast("long")
+    blocks = F.sequence(
+        floor_to(F.col("_at"), width), floor_to(F.col("_next") - step, width), wide
+    )
+    return (
+        steps.withColumn("_block", F.explode(blocks))
+        .withColumn("_at", F.greatest("_at", "_block"))
+        .withColumn("_next", F.least(F.col("_next"), F.col("_block") + wide))
+    )
+
+
 @dataclass(frozen=True)
 class Blocks:
     """Stretches cut at the borders of time blocks, ``_block`` and ``_deal`` named.
@@ -169,20 +182,8 @@ def in_blocks(steps: DataFrame, key: str, slide: int) -> Blocks:
     How many bytes stretches have says little of the windows written out from them. So
     windows are counted per block of time, and a block of many is dealt by ``key`` too.
     """
-    width = slide * _BLOCK_ENDS
-    step, wide = F.lit(slide).cast("long"), F.lit(width).cast("long")
-    cut = (
-        steps.withColumn(
-            "_block",
-            F.explode(
-                F.sequence(
-                    floor_to(F.col("_at"), width), floor_to(F.col("_next") - step, width), wide
-                )
-            ),
-        )
-        .withColumn("_at", F.greatest("_at", "_block"))
-        .withColumn("_next", F.least(F.col("_next"), F.col("_block") + wide))
-    )
+    step = F.lit(slide).cast("long")
+    cut = cut_at_blocks(steps, slide * _BLOCK_ENDS, slide)
     sizes = cut.groupBy("_block").agg(
         F.sum(((F.col("_next") - F.col("_at")) / step).cast("long")).alias("_windows")
     )

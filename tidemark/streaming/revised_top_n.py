@@ -33,7 +33,7 @@ from pyspark.sql.types import (
 from ..functions.clock import slot_end
 from ..operators.changelog import latest
 from ..operators.lateness import LatenessRule
-from ..operators.topn import top_n
+from ..operators.topn import hopeful_stretches, top_n
 from ..operators.windows import window_ends
 from .batch_log import BatchLog
 from .window_state import window_stretches
@@ -102,6 +102,7 @@ class RevisedTopN:
         told = changes.agg(
             F.max("_open_end").alias("open_end"),
             F.min(F.when(F.col("_again"), F.col("_at"))).alias("first_again"),
+            (F.max("_next") - F.min("_at")).alias("span"),
         ).first()
         start = slot_end(F.unix_millis(F.col(_RECORD)[self.ts]), rule.slide)
         too_late = F.lit(False)
@@ -110,29 +111,32 @@ class RevisedTopN:
         self.late.write(
             batch.where(F.col(_RECORD).isNotNull()).where(too_late).select(f"{_RECORD}.*"), batch_id
         )
-        counts = window_ends(
-            changes.where("_rows is not null").withColumnRenamed("_rows", "count"),
-            ["_again", self.key],
-            ["count"],
-            rule.slide,
+        stretches = changes.where("_rows is not null").withColumnRenamed("_rows", "count")
+        fresh = hopeful_stretches(
+            stretches.where("not _again"), self.n, self.key, rule.slide, span=told.span or 0
         )
-        closed = counts.where("not _again").drop("_again")
-        ranked = top_n(closed, self.n, self.key).withColumn("again", F.lit(False))
-        if told.first_again is not None:
-            corrected = counts.where("_again").drop("_again")
-            ranked = ranked.unionByName(
-                self._ranked_again(closed, corrected, batch_id, told.first_again)
-            )
-        self.ranked.write(ranked, batch_id)
+        closed = window_ends(fresh, [self.key], ["count"], rule.slide)
+        ranked = top_n(closed, self.n, self.key).persist()
+        try:
+            out = ranked.withColumn("again", F.lit(False))
+            if told.first_again is not None:
+                late = stretches.where("_again")
+                corrected = window_ends(late, [self.key], ["count"], rule.slide)
+                out = out.unionByName(
+                    self._ranked_again(ranked, corrected, batch_id, told.first_again)
+                )
+            self.ranked.write(out, batch_id)
+        finally:
+            ranked.unpersist()
         self._note(batch_id, told.open_end)
 
     def _ranked_again(
-        self, closed: DataFrame, corrected: DataFrame, batch_id: int, first: int
+        self, ranked: DataFrame, corrected: DataFrame, batch_id: int, first: int
     ) -> DataFrame:
         old = self.ranked.of(*[b for b, last in self._still_open(batch_id).items() if last >= first])
         rows = ["window_end", self.key, "count"]
         windows = corrected.select(F.col("window_end").alias("_end")).distinct()
-        before = top_n(closed, self.n, self.key).select(rows).unionByName(old.select(rows))
+        before = ranked.select(rows).unionByName(old.select(rows))
         known = before.join(windows, F.col("window_end") == F.col("_end"), "left_semi")
         counts = corrected.select(rows).unionByName(known).groupBy("window_end", self.key).agg(
             F.max("count").alias("count")

@@ -2,9 +2,12 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tidemark.functions.clock import hours, minutes
 from tidemark.functions.event_time import access_log_time, behavior_time, page_views
 from tidemark.functions.parsing import parse_access_log, parse_behavior
@@ -17,6 +20,7 @@ from tidemark.streaming.counts import stream_count
 from tidemark.streaming.end_of_input import END_ACCESS_LOG_LINE, END_BEHAVIOR_LINE
 from tidemark.streaming.open_state import open_windows, watermark_ms
 from tidemark.streaming.run import into_all, into_log, start
+from tidemark.streaming.window_state import _count_slots
 
 
 def put(folder, number, lines):
@@ -315,6 +319,29 @@ def test_a_hot_key_is_counted_before_it_is_shuffled(spark, tmp_path):
     assert max(p["numRowsUpdated"] for p in state) <= 3
 
 
+def test_a_key_reaches_its_state_in_one_row():
+    """All slots of a key in an Arrow batch: keyed state is visited per row."""
+    batch = pa.RecordBatch.from_pydict(
+        {"group": ["a", "b", "a", "a", "a"], "slot": [5, 5, 10, 5, 15]}
+    )
+    (counted,) = _count_slots(iter([batch]))
+    found = {r["group"]: sorted(zip(r["slots"], r["counted"])) for r in counted.to_pylist()}
+    assert counted.num_rows == 2
+    assert found == {"a": [(5, 2), (10, 1), (15, 1)], "b": [(5, 1)]}
+
+
+def test_the_file_of_a_micro_batch_can_be_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(entry, "new_folder", lambda spark, purpose: str(tmp_path / purpose))
+    rows = spark.range(0, 400_000, 1, 1).select(
+        F.col("id").alias("event_id"), F.timestamp_millis(F.hash("id").cast("long")).alias("ts"),
+        F.xxhash64("id").alias("user_id"), F.lit("view").alias("event_type"),
+        F.rand(1).alias("value"), F.lit("{}").alias("props"),
+    ).withColumn("ts", F.to_timestamp_ntz("ts"))
+    entry._as_stream(spark, rows)
+    (path,) = (tmp_path / "arrived" / "events.parquet").glob("part-*.parquet")
+    assert pq.ParquetFile(path).num_row_groups >= 4
+
+
 STREAMS = {
     "hot_items_stream": "hot_items_topn",
     "hot_urls_stream": "hot_urls_topn",

@@ -25,9 +25,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -35,7 +34,11 @@ from ..functions.clock import slot_end
 
 #: Before the first watermark every window is open.
 _NEVER = -(1 << 62)
-_CHANGES = "group string, at long, next long, counted long, again boolean, open_end long"
+#: One row for all changes of a key at once.
+_CHANGES = (
+    "group string, at array<bigint>, next array<bigint>, counted array<bigint>, "
+    "again boolean, open_end long"
+)
 
 
 def _floor(ms: int, width: int) -> int:
@@ -92,20 +95,20 @@ class WindowCounts(StatefulProcessor):
             "fired_to bigint, wake bigint",
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = list(rows)  # counts per slot of one micro-batch, not records
-        slots = np.concatenate([f["slot"].to_numpy(np.int64) for f in frames])
-        counted = np.concatenate([f["counted"].to_numpy(np.int64) for f in frames])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        parts = list(rows)  # counts per slot of one micro-batch, not records
+        slots = np.concatenate([np.asarray(r.slots, np.int64) for r in parts])
+        counted = np.concatenate([np.asarray(r.counted, np.int64) for r in parts])
         come = Intervals(slots, slots + self.size, counted)
         return self._advance(key, timerValues.getCurrentWatermarkInMs(), come)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return self._advance(key, timerValues.getCurrentWatermarkInMs(), Intervals([], [], []))
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key, watermark: int, come: Intervals) -> Iterator[pd.DataFrame]:
+    def _advance(self, key, watermark: int, come: Intervals) -> Iterator[Row]:
         slide = self.slide
         held, before, wake = Intervals([], [], []), _NEVER, None
         if self._held.exists():
@@ -152,27 +155,29 @@ class WindowCounts(StatefulProcessor):
 
     def _changes(
         self, key, some: Intervals, again: bool, open_end: int, too_late: bool = False
-    ) -> Iterator[pd.DataFrame]:
-        n = len(some) + bool(too_late)
-        if n:
-            gap = [None] * bool(too_late)  # a row without counts tells of records too late
-            numbers = {
-                "at": some.starts.tolist() + gap,
-                "next": some.stops.tolist() + gap,
-                "counted": some.rows.tolist() + gap,
-                "open_end": [open_end] * n,
-            }
-            columns = {c: pd.array(v, dtype="Int64") for c, v in numbers.items()}
-            yield pd.DataFrame({"group": [key[0]] * n, "again": [again] * n, **columns})
+    ) -> Iterator[Row]:
+        if len(some) or too_late:
+            gap = [None] * bool(too_late)  # one without counts tells of records too late
+            yield Row(
+                group=key[0],
+                at=some.starts.tolist() + gap,
+                next=some.stops.tolist() + gap,
+                counted=some.rows.tolist() + gap,
+                again=again,
+                open_end=open_end,
+            )
 
 
 def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            by = ["group", "slot"]
-            table = pa.Table.from_batches([batch]).group_by(by).aggregate([([], "count_all")])
-            yield from table.select([*by, "count_all"]).rename_columns(
-                [*by, "counted"]
+            table = pa.Table.from_batches([batch]).group_by(["group", "slot"]).aggregate(
+                [([], "count_all")]
+            )
+            # A key's slots in one row: keyed state is visited per row.
+            listed = table.group_by("group").aggregate([("slot", "list"), ("count_all", "list")])
+            yield from listed.select(["group", "slot_list", "count_all_list"]).rename_columns(
+                ["group", "slots", "counted"]
             ).combine_chunks().to_batches()
 
 
@@ -198,11 +203,16 @@ def window_stretches(
         slot_end(F.unix_millis(ts), slide).alias("slot"),
     )
     changes = (
-        keyed.mapInArrow(_count_slots, "group string, slot long, counted long")
+        keyed.mapInArrow(
+            _count_slots, "group string, slots array<bigint>, counted array<bigint>"
+        )
         .groupBy("group")
-        .transformWithStateInPandas(
+        .transformWithState(
             WindowCounts(size, slide, lateness), _CHANGES, "append", "eventTime"
         )
+        .select(
+            "group", "again", "open_end", F.inline(F.arrays_zip("at", "next", "counted"))
+        )
     )
     types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     named = F.from_json("group", types)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -360,3 +361,17 @@ def test_windows_on_sorted_projections_count_what_lies_in_them():
     queries = rows[:7]
     want = (np.abs(queries[:, None].astype(int) - rows[None]) <= 40).sum(axis=2)
     assert (embedding_dedup._collisions(queries, rows, 40) == want).all()
+
+
+def test_collisions_are_counted_in_place():
+    """No list of the members of all windows is made: one count a pair, whatever they hold."""
+    rng = np.random.default_rng(4)
+    rows = np.rint(rng.normal(0, 1, (600, 64))).astype(np.int16)  # windows hold most rows
+    rows[:200] = rows[0]
+    tracemalloc.start()
+    got = embedding_dedup._collisions(rows[:128], rows, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = (np.abs(rows[:128, None, :].astype(int) - rows[None, :, :]) <= 1).sum(axis=2)
+    assert (got == want).all()
+    assert peak < 8 * 128 * 600 * 8

@@ -138,26 +138,39 @@ def _in_cells(delta: float):
 _PLACED = "uid long, group long, cell long, round int, per_cell int, sketch binary"
 
 
-def _collisions(queries: np.ndarray, rows: np.ndarray, half: int) -> np.ndarray:
-    """How many projections have each of ``rows`` in the window around each query.
+class _Sorted:
+    """Every projection of ``rows`` sorted, all of them one after the other in a line."""
+
+    def __init__(self, rows: np.ndarray):
+        self.n, axes = rows.shape
+        self._offset = np.arange(axes, dtype=np.int64) * (1 << 20)
+        order = np.argsort(rows, axis=0, kind="stable")
+        self._line = (np.take_along_axis(rows, order, axis=0) + self._offset).T.ravel()
+        self._first = np.arange(axes, dtype=np.int64) * self.n
+        self._place = np.uint16 if self.n < 1 << 16 else np.uint32
+        self._rank = np.empty((axes, self.n), self._place)
+        np.put_along_axis(self._rank, order.T, np.arange(self.n, dtype=self._place), axis=1)
+
+    def collisions(self, queries: np.ndarray, half: int) -> np.ndarray:
+        """How many projections have each of the rows in the window around each query.
+
+        A window is a stretch of a sorted projection, found by two binary searches; a row
+        is in it if its place there is.
+        """
+        centre = queries.astype(np.int64) + self._offset
+        low = np.searchsorted(self._line, (centre - half).ravel(), side="left")
+        high = np.searchsorted(self._line, (centre + half).ravel(), side="right")
+        start = (low.reshape(centre.shape) - self._first).astype(self._place)
+        size = (high - low).reshape(centre.shape).astype(self._place)
+        counts = np.zeros((len(queries), self.n), np.uint16)
+        for axis, rank in enumerate(self._rank):
+            # Places before a window wrap round and are past its end.
+            counts += (rank - start[:, axis, None]) < size[:, axis, None]
+        return counts
 
-    Every projection of the rows is sorted; all of them form one sorted sequence, a
-    projection after the other, in which each query has one window per projection.
-    """
-    n, axes = rows.shape
-    apart = np.int64(1 << 20)
-    offset = np.arange(axes, dtype=np.int64) * apart
-    order = np.argsort(rows, axis=0, kind="stable")
-    line = (np.take_along_axis(rows, order, axis=0) + offset).T.ravel()
-    member = order.T.ravel()
-    centre = queries.astype(np.int64) + offset
-    low = np.searchsorted(line, (centre - half).ravel(), side="left")
-    high = np.searchsorted(line, (centre + half).ravel(), side="right")
-    size = high - low
-    starts = np.cumsum(size) - size
-    found = member[np.arange(size.sum()) - np.repeat(starts - low, size)]
-    query = np.repeat(np.repeat(np.arange(len(queries)), axes), size)
-    return np.bincount(query * n + found, minlength=len(queries) * n).reshape(-1, n)
+
+def _collisions(queries: np.ndarray, rows: np.ndarray, half: int) -> np.ndarray:
+    return _Sorted(rows).collisions(queries, half)
 
 
 def _candidates(recall: float):
@@ -182,9 +195,10 @@ def _candidates(recall: float):
         left = np.flatnonzero(side != 1)
         within = side[0] == WITHIN
         right = left if within else np.flatnonzero(side == 1)
+        ordered = _Sorted(rounded[right])
         for at in range(0, len(left), 128):
             tile = left[at : at + 128]
-            i, j = np.nonzero(_collisions(rounded[tile], rounded[right], half) >= enough)
+            i, j = np.nonzero(ordered.collisions(rounded[tile], half) >= enough)
             i, j = tile[i], right[j]
             fits = (group[i] == group[j]) & (cell[i] == cell[j])
             if within:
